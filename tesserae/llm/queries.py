@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontam, jpeg, langid, secrets, sharding, simhash, urls
+from . import decontam, jpeg, langid, lines, pieces, quality, secrets, sharding, simhash, urls
 
 QUERIES = {
     f.__name__: f
     for f in (
+        quality.op1_cotraining_quality,
         jpeg.op2_progressive_jpeg,
         urls.op3_url_filter,
+        lines.op4_line_dedup,
         secrets.op5_secret_ledger,
         langid.op6_language_id,
+        pieces.op7_nbest_pieces,
         simhash.op8_simhash_near_dedup,
         sharding.op9_two_pass_shuffle,
         decontam.op10_pigeonhole_decontamination,
