@@ -1,8 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 A test item with an error budget of e edits is cut into e + 1 pieces; an occurrence within the
-budget leaves at least one piece intact.  One automaton finds all exact piece hits in a document;
-hits of one item on nearby diagonals make one window, which Myers' bit-parallel distance verifies.
+budget leaves at least one piece intact.  One automaton finds all exact piece hits in a document,
+and Myers' bit-parallel distance verifies them, first around the piece, then around the item.
 """
 
 from __future__ import annotations
@@ -51,52 +51,78 @@ def myers(pattern: str, masks: dict[str, int], text: str, budget: int) -> tuple[
     return best if best[0] <= budget else None
 
 
+class Node:
+    """A stretch of an item with its share of the error budget; leaves have none and are the pieces.
+
+    Of two halves whose budgets sum to one less than the whole's, one keeps its own.  So an occurrence
+    of the whole is found by verifying from an intact piece upwards, and a chance hit of a short
+    piece is dismissed by its small parent already.
+    """
+
+    __slots__ = ("item", "lo", "hi", "budget", "parent", "text", "masks")
+
+    def __init__(self, item: int, text: str, lo: int, hi: int, budget: int, parent: Node | None):
+        self.item, self.lo, self.hi, self.budget, self.parent, self.text = item, lo, hi, budget, parent, text[lo:hi]
+        self.masks: dict[str, int] = {}
+        for p, c in enumerate(self.text):
+            self.masks[c] = self.masks.get(c, 0) | 1 << p
+
+
+def pieces(item: int, text: str, budget: int) -> list[Node]:
+    """The budget-plus-one leaves of an item's tree, of about equal length."""
+    todo, out = [Node(item, text, 0, len(text), budget, None)], []
+    while todo:
+        n = todo.pop()
+        if not n.budget:
+            out.append(n)
+            continue
+        left = (n.budget - 1) // 2
+        right = n.budget - 1 - left
+        mid = n.lo + (n.hi - n.lo) * (left + 1) // (n.budget + 1)
+        todo += [Node(item, text, n.lo, mid, left, n), Node(item, text, mid, n.hi, right, n)]
+    return out
+
+
 class Matcher:
-    """The automaton over all pieces; built once in each worker."""
+    """The automaton over all pieces; built once in each task."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
-        self.items = [(i, t, int(len(t) * rate)) for i, t in items if t]
-        self.masks: list[dict[str, int]] = []
-        where: dict[str, list[tuple[int, int]]] = {}
-        for k, (_, t, e) in enumerate(self.items):
-            masks: dict[str, int] = {}
-            for p, c in enumerate(t):
-                masks[c] = masks.get(c, 0) | 1 << p
-            self.masks.append(masks)
-            cuts = [len(t) * p // (e + 1) for p in range(e + 2)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                where.setdefault(t[a:b], []).append((k, a))
+        self.items = [(i, t) for i, t in items if t]
+        where: dict[str, list[Node]] = {}
+        for k, (_, t) in enumerate(self.items):
+            for leaf in pieces(k, t, int(len(t) * rate)):
+                where.setdefault(leaf.text, []).append(leaf)
         self.auto = ahocorasick.Automaton()
-        for piece, at in where.items():
-            self.auto.add_word(piece, (len(piece), at))
+        for piece, leaves in where.items():
+            self.auto.add_word(piece, leaves)
         if where:
             self.auto.make_automaton()
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item id, distance, start of the window, end) for each item that occurs in the text, best first found."""
+        """(item id, distance, start of the window, end) of the best occurrence of each item, the earliest of equals."""
         if not self.items:
             return []
-        body, diagonals = normal(text), {}
-        for end, (n, at) in self.auto.iter(body):
-            for k, offset in at:
-                diagonals.setdefault(k, set()).add(end + 1 - n - offset)
-        out = []
-        for k, ds in sorted(diagonals.items()):
-            item, t, e = self.items[k]
-            best, until = None, None
-            for d in sorted(ds):
-                if until is not None and d <= until:
-                    continue  # a window from an earlier diagonal covers this one
-                lo, hi = max(0, d - e), d + len(t) + 2 * e
-                until = d + e
-                got = myers(t, self.masks[k], body[lo:hi], e)
-                if got and (best is None or got[0] < best[1]):
-                    best = (item, got[0], lo, lo + got[1])
-                    if not got[0]:
+        body, best, seen = normal(text), {}, set()
+        for end, leaves in self.auto.iter(body):
+            for leaf in leaves:
+                shift, node = end + 1 - leaf.hi, leaf.parent  # the item's start, if nothing before the piece is edited
+                while node is not None:
+                    e = node.budget
+                    lo = max(0, shift + node.lo - e)
+                    got = myers(node.text, node.masks, body[lo : shift + node.hi + e], e)
+                    if got is None:
+                        break
+                    if node.parent is None:
+                        best[node.item] = min(best.get(node.item, (e + 1,)), (got[0], lo, lo + got[1]))
                         break
-            if best:
-                out.append(best)
-        return out
+                    node = node.parent
+                    if node.parent is None:  # the whole is verified once for each diagonal
+                        if (node.item, shift) in seen:
+                            break
+                        seen.add((node.item, shift))
+                if leaf.parent is None:
+                    best[leaf.item] = min(best.get(leaf.item, (1,)), (0, shift, end + 1))
+        return [(self.items[k][0], *hit) for k, hit in sorted(best.items())]
 
 
 def _items(items: DataFrame, item_col: str, text_col: str) -> list[tuple[int, str]]:
