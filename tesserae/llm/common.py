@@ -39,9 +39,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fresh(prefix: str) -> str:
-    """A column name that clashes with none of the caller's."""
-    return f"__{prefix}_{uuid.uuid4().hex[:8]}"
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame with its lineage cut: a compressed table in the shared folder, read back."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def unsigned32(c: Column) -> Column:
