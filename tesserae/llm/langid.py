@@ -139,10 +139,10 @@ def identify(docs: DataFrame, profiles: Profiles, keep: list[str] | None = None,
     """``docs`` (the columns ``keep``, all by default) with the predicted language and its cosine.
 
     A text that is null or has no letter gets ``und`` and 0; so does every text if no language was
-    learned.  Ties go to the name that sorts first.  A cosine below 0 counts as 0.
+    learned.  Ties go to the name that sorts first.  A cosine below 0 counts as 0.  Input columns named
+    like the two new ones are replaced.
     """
-    keep = docs.columns if keep is None else keep
-    fields = [docs.schema[c] for c in keep]
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in (out.lower(), score.lower())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -152,7 +152,6 @@ def identify(docs: DataFrame, profiles: Profiles, keep: list[str] | None = None,
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, out, score])
 
     schema = docs.select(*keep).schema.add(out, "string").add(score, "double")
-    assert len(schema) == len(fields) + 2
     return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 

@@ -48,11 +48,11 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     """
     rules = rules.where("host is not null and path is not null")
     shape = rules.agg(F.max(F.size(F.split("host", r"\."))), F.collect_set(F.length("path"))).first()
-    labels, lengths = shape[0] or 0, sorted(shape[1] or [])
+    labels, lengths = max(shape[0] or 1, 1), sorted(shape[1] or [])
     host, path = host_and_path(F.col(url_col))
     urls = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     parts = F.split("host", r"\.")
-    tail = F.slice(parts, F.greatest(F.size(parts) - F.lit(labels - 1), F.lit(1)), F.lit(max(labels, 1)))
+    tail = F.slice(parts, F.greatest(F.size(parts) - F.lit(labels - 1), F.lit(1)), F.lit(labels))
     urls = urls.withColumn("tail", tail)
     suffixes = F.transform(F.sequence(F.lit(1), F.size("tail")), lambda i: F.array_join(F.slice(F.col("tail"), i, F.size("tail")), "."))
     lens = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path"))
