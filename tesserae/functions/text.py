@@ -74,9 +74,18 @@ def first_case(cases: list[tuple[Column, Column | str]], otherwise: Column | str
 
 
 def two_decimals(x: Column) -> Column:
-    """Two decimals, ties to even as binary floating point has them: exact ties occur at eighths alone."""
-    tie = (x * 8) == F.floor(x * 8)
-    return F.format_string("%.2f", F.when(tie, F.bround(x, 2)).otherwise(x))
+    """A non-negative double to two decimals, rounded by its exact binary value, exact ties to even.
+
+    Twice the hundredths, x * 200, are compared with the odd number between two results; the product's
+    rounding error comes from splitting x into two halves of 26 bits, so the comparison is exact.
+    """
+    low = F.floor(x * 100)
+    high_half = x * 134217729.0 - (x * 134217729.0 - x)
+    product = x * 200.0
+    error = (high_half * 200.0 - product) + (x - high_half) * 200.0
+    side = (product - (low * 2 + 1).cast("double")) + error
+    n = F.when((side > 0) | ((side == 0) & (low % 2 == 1)), low + 1).otherwise(low)
+    return F.format_string("%d.%02d", F.floor(n / 100), F.pmod(n, F.lit(100)))
 
 
 # Species spellings.

@@ -13,12 +13,11 @@ from ..sources.schema import CORRUPT, paper_schema
 
 
 def stream_papers(spark: SparkSession, path: str) -> DataFrame:
-    """Documents from JSON Lines files as they arrive; ``paper_ord`` orders them by file time and place."""
+    """Documents from JSON Lines files as they arrive; ``paper_ord`` is the file's time."""
     schema = T.StructType([*paper_schema().fields, T.StructField(CORRUPT, T.StringType())])
     lines = spark.readStream.text(path)
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    order = F.unix_micros("_metadata.file_modification_time") * 1000 + F.pmod(F.monotonically_increasing_id(), F.lit(1000))
-    return lines.select(order.alias("paper_ord"), parsed.alias("p")).select("paper_ord", "p.*")
+    return lines.select(F.unix_millis("_metadata.file_modification_time").alias("paper_ord"), parsed.alias("p")).select("paper_ord", "p.*")
 
 
 def upsert(batch: DataFrame, path: str, key: list[str]) -> None:
@@ -36,7 +35,9 @@ def ingest(papers: DataFrame, out: str, checkpoint: str, also: Callable[[DataFra
     """Starts a query that adds each batch's instance and ontology layers to the tables under ``out``."""
 
     def step(batch: DataFrame, number: int) -> None:
-        layer = instance.build_instance_layer(batch)
+        # within a batch, lines of files of one time keep their reading order
+        placed = batch.withColumn("paper_ord", F.col("paper_ord") * 1_000_000 + F.pmod(F.monotonically_increasing_id(), F.lit(1_000_000)))
+        layer = instance.build_instance_layer(placed.persist())
         onto, onto_edges = ontology.build_ontology_layer(layer.nodes)
         for name, df in {**layer.nodes, "OntologyTerm": onto}.items():
             upsert(df, f"{out}/nodes/{name}", ["uid"])
