@@ -411,7 +411,7 @@ def slug(spark, d):
     return rows.select("p_partkey", text.slug("p_name").alias("slug"), text.pdf_filename(F.lit(1999), authors, "p_name").alias("filename"))
 
 
-@query("select p_partkey, trim(regexp_replace(p_name, '[-_ ](plate|star|wire|film|foam)s?\\b', '', 'g')) as name from part")
+@query("select p_partkey, trim(regexp_replace(p_name, '[-_ ](rod|sphere|cube|wire|sheet|tube|flower|star|plate|film|foam|fiber|needle|hollow|porous|mesoporous)s?\\b', '', 'g')) as name from part")
 def regex_norm(spark, d):
     raw = F.concat(F.lit("  "), "p_size", F.lit(" wt%  "), "p_name", F.lit("-rods  "))
     return _t(spark, d, "part").select("p_partkey", materials.active_text(raw).alias("name"))
