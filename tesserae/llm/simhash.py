@@ -6,9 +6,13 @@ bits have a segment in which they differ in at most one bit, so both emit an equ
 * the segment itself (no bit of it differs), and
 * the segment with one bit blanked, for each of its 32 bits (that bit differs).
 
-Rows with an equal key are joined and the full distance is verified.  A key that many different
-fingerprints share is not expanded into pairs: there the other segment is indexed by its own one-
-and two-bit deletion variants, whose equality already proves the distance (see ``_dense``).
+Rows with an equal key are joined and the full distance is verified.  For corpora beyond some 10^8
+different fingerprints, ``segments=3`` takes the pairs of three segments instead: some pair of them
+differs in at most one bit too, and its 42 and more bits keep chance agreement rare, for twice the keys.
+
+A key that many different fingerprints share is not expanded into pairs: there the remaining bits
+are indexed by their own one- and two-bit deletion variants, whose equality already proves the
+distance (see ``_dense``).
 """
 
 from __future__ import annotations
@@ -61,67 +65,74 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
 
 
-def segment_keys(fps: DataFrame) -> DataFrame:
-    """(key, fp, rest): for either 32-bit segment its value and its 32 one-wildcard variants.
+def _masks(segments: int) -> list[list[int]]:
+    """The bits of each table's key: one of two segments, or two of three."""
+    if segments == 2:
+        return [list(range(32)), list(range(32, 64))]
+    if segments == 3:
+        cuts = [list(range(21)), list(range(21, 42)), list(range(42, 64))]
+        return [cuts[0] + cuts[1], cuts[0] + cuts[2], cuts[1] + cuts[2]]
+    raise ValueError("two or three segments serve a bound of two bits")
 
-    ``key`` packs the segment's side, the blanked bit (32: none) and the segment; ``rest`` is the other one.
-    """
-    hi, lo = F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
-    sides = fps.select(
-        "fp",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).cast("long").alias("side"), hi.alias("seg"), lo.alias("rest")),
-                F.struct(F.lit(1).cast("long").alias("side"), lo.alias("seg"), hi.alias("rest")),
-            )
-        ).alias("s"),
-    )
-    blank = F.expr(
-        "concat(array(shiftleft(s.side, 40) | shiftleft(32L, 33) | s.seg), transform(sequence(0, 31), i -> shiftleft(s.side, 40) | shiftleft(cast(i as bigint), 33) | (s.seg & ~shiftleft(1L, i))))"
-    )
-    return sides.select("fp", F.col("s.rest").alias("rest"), F.explode(blank).alias("key"))
-
-
-def _dense(rows: DataFrame) -> DataFrame:
+
+def _signed(bits: list[int]) -> int:
+    v = sum(1 << b for b in bits)
+    return v - (1 << 64) if v >> 63 else v
+
+
+def segment_keys(fps: DataFrame, segments: int = 2) -> DataFrame:
+    """(key, fp, slot) for every table's key and its one-wildcard variants; slot is 65 * table + blanked bit (64: none)."""
+    made = []
+    for t, bits in enumerate(_masks(segments)):
+        for blank in [None, *bits]:
+            mask = _signed([b for b in bits if b != blank])
+            slot = 65 * t + (64 if blank is None else blank)
+            made.append(f"struct(cast({slot} as smallint) as slot, fp & {mask}L as part)")
+    keys = fps.select("fp", F.expr(f"explode(array({', '.join(made)}))").alias("k"))
+    return keys.select(F.xxhash64("k.slot", "k.part").alias("key"), "fp", F.col("k.slot").alias("slot"))
+
+
+def _dense(rows: DataFrame, segments: int) -> DataFrame:
     """Edges inside keys that many fingerprints share, without forming pairs.
 
-    The key fixes the segment, or all of it but one bit.  The other segment may then differ in two
-    bits (segment equal) or in one (blanked bit differs).  So it is indexed by its two-bit deletion
-    variants in the first case and its one-bit ones in the second: members of an equal variant are
+    The key fixes its bits, or all of them but one.  The remaining bits may then differ in two places
+    (no bit blanked) or in one (the blanked bit differs).  So they are indexed by their two-bit deletion
+    variants in the first case and their one-bit ones in the second: members of an equal variant are
     within the bound by construction, and one edge to the smallest of them links them all.
     """
-    exact = F.shiftright("key", 33).bitwiseAND(F.lit(63)) == 32
-    two = F.expr(
-        "flatten(transform(sequence(0, 30), i -> transform(sequence(i + 1, 31), j -> shiftleft(cast(i * 32 + j as bigint), 32) | (rest & ~(shiftleft(1L, i) | shiftleft(1L, j))))))"
-    )
-    one = F.expr("transform(sequence(0, 31), i -> shiftleft(cast(1024 + i as bigint), 32) | (rest & ~shiftleft(1L, i)))")
-    sub = rows.select("key", "fp", F.explode(F.when(exact, two).otherwise(one)).alias("sub"))
+    cases = []
+    for t, bits in enumerate(_masks(segments)):
+        rest = [b for b in range(64) if b not in bits]
+        two = [_signed([b for b in rest if b not in (x, y)]) for n, x in enumerate(rest) for y in rest[n + 1 :]]
+        one = [_signed([b for b in rest if b != x]) for x in rest]
+        for test, masks in ((f"slot = {65 * t + 64}", two), (f"slot div 65 = {t} and slot <> {65 * t + 64}", one)):
+            listed = ", ".join(f"{m}L" for m in masks)
+            cases.append(f"when {test} then transform(array({listed}), (m, n) -> xxhash64(n, fp & m))")
+    sub = rows.select("key", "fp", F.expr(f"explode(case {' '.join(cases)} end)").alias("sub"))
     low = sub.groupBy("key", "sub").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
     low = low.where("low <> high")
-    return sub.join(low, ["key", "sub"]).where("fp <> low").select(F.col("low").alias("a"), F.col("fp").alias("b")).distinct()
+    both = sub.join(low, ["key", "sub"]).where("fp <> low and bit_count(fp ^ low) <= 2")
+    return both.select(F.col("low").alias("a"), F.col("fp").alias("b")).distinct()
 
 
-def links(fps: DataFrame, bits: int = 2, dense: int = DENSE) -> DataFrame:
+def links(fps: DataFrame, bits: int = 2, dense: int = DENSE, segments: int = 2) -> DataFrame:
     """Edges (a, b) between different fingerprints that connect all pairs within two differing bits.
 
-    A pair whose segments differ in one bit is joined on that blanked bit only, not on all 32.
+    A pair that differs in one bit of a key is joined on that blanked bit only, not on all.
     """
     if bits != 2:
-        raise ValueError("two 32-bit segments with one wildcard serve a bound of two bits")
-    per_key = "partition by key"
-    keyed = segment_keys(fps).selectExpr("key", "fp", "rest", f"count(*) over ({per_key}) as n").where("n > 1")
+        raise ValueError("the keys serve a bound of two bits")
+    keyed = segment_keys(fps, segments).selectExpr("key", "fp", "slot", "count(*) over (partition by key) as n").where("n > 1")
     keyed = cut(keyed)
     few = keyed.where(F.col("n") <= dense)
-    a, b = few.select("key", F.col("fp").alias("a")), few.select("key", F.col("fp").alias("b"))
-    bit = F.expr("cast(shiftright(key, 33) & 63 as int)")
-    at = bit + F.when(F.shiftright("key", 40) == 0, 32).otherwise(0)
-    differs = (bit == 32) | (F.getbit(F.expr("a ^ b"), F.when(bit == 32, 0).otherwise(at)) == 1)
+    a, b = few.select("key", F.col("fp").alias("a"), "slot"), few.select("key", F.col("fp").alias("b"))
+    differs = F.expr("slot % 65 = 64 or getbit(a ^ b, if(slot % 65 = 64, 0, slot % 65)) = 1")
     pairs = a.join(b, "key").where("a < b and bit_count(a ^ b) <= 2").where(differs).select("a", "b").distinct()
-    return pairs.unionByName(_dense(keyed.where(F.col("n") > dense)))
+    return pairs.unionByName(_dense(keyed.where(F.col("n") > dense), segments))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """One row per input row: (id, fingerprint hex, component_id, n_bits).
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, segments: int = 2) -> DataFrame:
+    """One row per input row: (id, fingerprint hex, component_id).
 
     component_id is the smallest id reachable over links of at most two differing bits.  Equal
     fingerprints are one node, so exact copies cost nothing.  Null ids take part but never name a
@@ -129,7 +140,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = cut(fingerprints(docs, id_col, text_col, shingle))
     nodes = prints.groupBy("fp").agg(F.min("id").alias("first"))
-    edges = cut(links(nodes.select("fp")))
+    edges = cut(links(nodes.select("fp"), segments=segments))
     comp = connected_components(edges)
     named = nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     label = named.groupBy("root").agg(F.min("first").alias("component_id"))

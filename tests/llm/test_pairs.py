@@ -40,8 +40,8 @@ def test_fingerprint():
         assert simhash.fingerprint(t) == brute_fingerprint(t)
 
 
-@pytest.mark.parametrize("dense", [1, 128])
-def test_links_connect_what_brute_force_connects(spark, dense):
+@pytest.mark.parametrize("dense, segments", [(1, 2), (128, 2), (1, 3), (128, 3)])
+def test_links_connect_what_brute_force_connects(spark, dense, segments):
     rng = random.Random(7)
     prints = {rng.getrandbits(64) for _ in range(30)}
     for p in list(prints)[:8]:
@@ -51,7 +51,7 @@ def test_links_connect_what_brute_force_connects(spark, dense):
                 q ^= 1 << rng.randrange(64)
             prints.add(q)
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    edges = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long"), dense=dense)
+    edges = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long"), dense=dense, segments=segments)
     roots = {r["node"]: r["root"] for r in connected_components(edges).collect()}
     want = brute_roots(signed, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 2)
     got = {p: roots.get(p, p) for p in signed}
