@@ -1,6 +1,7 @@
 """Quality classifier by co-training.
 
-Two views of a document: its text's content (hashed byte pairs) and its page metadata (source,
+Two views of a document: its text's content (hashed byte pairs and the
+repetition of words) and its page metadata (source,
 declared language, lengths and line layout).  Each view has a logistic classifier.  In every round
 both score all unlabelled documents, and each hands its most confident ones, with their predicted
 labels, to the other's training set.  In the end both are calibrated on labelled rows that took no
@@ -15,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +29,27 @@ LABELLED = 20_000
 ROUNDS = 3
 HANDED = 400
 CONFIDENT = 0.9
-TEXT_DIMS, META_DIMS = 512, 64
+PAIR_DIMS, META_DIMS = 512, 64
+TEXT_DIMS = PAIR_DIMS + 8
 THRESHOLD = 0.5
 
 
 def text_view(raw: bytes) -> np.ndarray:
-    """Square roots of the shares of hashed byte pairs, as 0-255."""
+    """Square roots of the shares of hashed byte pairs, and how the words repeat, as 0-255."""
+    out = np.zeros(TEXT_DIMS, np.uint8)
     if len(raw) < 2:
-        return np.zeros(TEXT_DIMS, np.uint8)
+        return out
     b = np.frombuffer(raw, np.uint8).astype(np.uint32)
     pairs = (b[:-1] << 8 | b[1:]) * np.uint32(2654435761) >> np.uint32(23)
-    n = np.bincount(pairs, minlength=TEXT_DIMS)
-    return np.minimum(np.sqrt(n / (len(raw) - 1)) * 512, 255).astype(np.uint8)
+    n = np.bincount(pairs, minlength=PAIR_DIMS)
+    out[:PAIR_DIMS] = np.minimum(np.sqrt(n / (len(raw) - 1)) * 512, 255)
+    words = raw.split()
+    if words:
+        again = sum(map(eq, words, words[1:])) / len(words)
+        fresh = len(set(words)) / len(words)
+        size = np.log2(len(words) + 1)
+        out[PAIR_DIMS:] = np.clip([again * 255, again * 1020, fresh * 255, (fresh < 0.3) * 255, size * 16, (size < 4) * 255, (size < 5) * 255, (size < 6) * 255], 0, 255)
+    return out
 
 
 def meta_view(source: str | None, lang: str | None, n_chars: int | None, text: str) -> np.ndarray:
