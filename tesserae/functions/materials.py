@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .text import any_of, clean, first_case, first_text, list_or_empty, literal_map, lookup, or_null, staged, text_or_empty
 
-# Supports and their spellings.
+# Supports and their spellings, label sets, and the patterns of controls, loadings and shapes.
 SUPPORTS = {
     "al2o3": "Al2O3", "alumina": "Al2O3", "gamma-al2o3": "Al2O3", "gamma alumina": "Al2O3", "γ-al2o3": "Al2O3", "gamma-alumina": "Al2O3",
     "sio2": "SiO2", "silica": "SiO2", "tio2": "TiO2", "titania": "TiO2", "zro2": "ZrO2", "zirconia": "ZrO2",
@@ -232,7 +232,7 @@ def with_canonical_name(df: DataFrame, given: str | None = None, out: str = "can
 
 # --- the alternative normaliser: name, support and platforms only ---------------------------------
 
-# Its support spellings and its names for runs without a catalyst.
+# Its support spellings, its names for runs without a catalyst, and its patterns.
 SHORT_SUPPORTS = {
     "al2o3": "Al2O3", "alumina": "Al2O3", "γ-al2o3": "Al2O3", "gamma-al2o3": "Al2O3", "δ-al2o3": "Al2O3", "alpha-al2o3": "Al2O3",
     "α-al2o3": "Al2O3", "pseudo-boehmite": "Al2O3", "γ-alumina": "Al2O3", "γ-alumina (pseudo-boehmite)": "Al2O3",

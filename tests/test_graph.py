@@ -108,7 +108,9 @@ def test_polymorphic_catalyst_and_evidence(spark):
     paper = json.loads(json.dumps(FX1[0]))
     paper["task4"] = {"characterization_records": [{"record_id": "H1", "catalyst_id": ["C1", "C2"], "reaction_id": "R1"}, {"record_id": "H2", "catalyst_id": "C1", "applies_to_catalyst_ids": ["C1", ""]}]}
     paper["task6"] = {"mechanistic_claims": [{"claim_id": "M1", "reaction_id": "R1", "catalyst_id": "C1", "applies_to_catalyst_ids": ["C1", "C2"], "evidence_chain": [{"evidence_type": "x", "linked_characterization_record_ids": ["H1", ""], "linked_procedure_ids": ["P1"]}]}]}
-    t = instance.build_instance_layer(io.papers_from_rows(spark, [paper])).edge_tables
+    layer = instance.build_instance_layer(io.papers_from_rows(spark, [paper, FX1[1]]).persist())
+    t = layer.edge_tables
+    assert sorted(map(str, layer.edges.collect())) == sorted(map(str, layer.edges_by_union.collect()))
     got = lambda kind: sorted((r["source"], r["target"]) for r in t[kind].collect())
     assert got("APPLIES_TO_CATALYST") == sorted(
         [("char:10.1_ab:H1", "catalyst:10.1_ab:C1"), ("char:10.1_ab:H1", "catalyst:10.1_ab:C2")]
