@@ -177,7 +177,7 @@ def test_real_model_round_trip(spark):
 def test_shuffle_is_a_balanced_permutation(spark, tmp_path):
     rows = [(i, f"t{i % 7}" * (i % 11) if i % 5 else None, i % 3) for i in range(500)] + [(3, "t3", 0), (None, None, 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, slot int").withColumn("size", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long"))
-    out = sharding.shuffled(df, "size", bucket_bytes=700).persist()
+    out = sharding.shuffled(df, "size", bucket_bytes=700, least=1).persist()
     got = out.collect()
     assert len(got) == 502
     by = {}
@@ -187,9 +187,9 @@ def test_shuffle_is_a_balanced_permutation(spark, tmp_path):
     assert all(sorted(v) == list(range(len(v))) for v in by.values())
     ids = [r["doc_id"] for r in sorted(got, key=lambda r: (r["slot"], r["shard"]))]
     assert ids != sorted(ids, key=lambda x: (x is None, x))
-    again = sharding.shuffled(df, "size", bucket_bytes=700).collect()
+    again = sharding.shuffled(df, "size", bucket_bytes=700, least=1).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
-    assert sorted(map(str, got)) != sorted(map(str, sharding.shuffled(df, "size", bucket_bytes=700, seed=18).collect()))
+    assert sorted(map(str, got)) != sorted(map(str, sharding.shuffled(df, "size", bucket_bytes=700, seed=18, least=1).collect()))
     sharding.write_shards(out, str(tmp_path / "shards"))
     assert spark.read.parquet(str(tmp_path / "shards")).count() == 502
     assert sharding.shuffled(df.limit(0), "size").count() == 0
