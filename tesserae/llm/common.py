@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts of a few rows, so that a worker holds few texts as Python strings at once.
+
+    After the last one the worker, which serves later tasks too, gives unused Arrow memory back.
+    """
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+        del b
+    pa.default_memory_pool().release_unused()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame with its lineage cut: a compressed table in the shared folder, read back."""
     spark = df.sparkSession

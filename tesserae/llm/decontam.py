@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 RATE = 0.1  # edits allowed for each character of an item
 MAX_ITEMS = 1_000_000  # an automaton of more pieces does not belong into a worker's memory; see leaks()
 MAX_CHARS = 200_000_000
@@ -147,7 +149,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(known, rate)
-        for b in batches:
+        for b in slices(batches):
             ids, rows = b.column(0), []
             for at, text in enumerate(b.column(1).to_pylist()):
                 rows += [(at, *hit) for hit in matcher.find(text)]

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 DIMENSIONS = 1024
 SEED = 20240
 SYMBOLS = 64  # 0: whatever is no letter; 1-26: a-z; the rest by a hash of the lower-cased code point
@@ -110,7 +112,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dims:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in slices(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = ngrams(text)
                 if len(ids):
@@ -145,14 +147,16 @@ def identify(docs: DataFrame, profiles: Profiles, keep: list[str] | None = None,
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in (out.lower(), score.lower())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = [profiles.predict(t) for t in b.column(b.num_columns - 1).to_pylist()]
-            cols = [b.column(i) for i in range(b.num_columns - 1)]
+        for b in slices(batches):
+            made = [profiles.predict(t) for t in b.column(place).to_pylist()]
+            cols = [b.column(i) for i in range(len(keep))]
             cols += [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, out, score])
 
     schema = docs.select(*keep).schema.add(out, "string").add(score, "double")
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    given = docs.select(*keep) if text_col in keep else docs.select(*keep, F.col(text_col).alias("__text"))
+    place = keep.index(text_col) if text_col in keep else len(keep)  # the text travels once
+    return given.mapInArrow(run, schema)
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:

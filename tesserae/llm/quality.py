@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, load
+from .common import cut, load, slices
 
 LABELLED = 20_000
 ROUNDS = 3
@@ -74,7 +74,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     side = [F.col(c).cast(t).alias(f"m_{c}") if c in have else F.lit(None).cast(t).alias(f"m_{c}") for c, t in (("source", "string"), ("lang", "string"), ("n_chars", "long"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             content = [text_view(t.encode("utf-8", "surrogatepass")).tobytes() for t in texts]
             meta = [meta_view(s, la, n, t).tobytes() for s, la, n, t in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), texts, strict=True)]

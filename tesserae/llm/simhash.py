@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, slices
 from .components import connected_components
 
 SEED = 42
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
             signed = np.array(fps, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(signed)], names=["id", "fp"])
