@@ -1,12 +1,16 @@
 """Near-duplicate lines by a deletion-neighbourhood join, with DataFrame functions alone.
 
-A line is lower-cased and its white space collapsed, then cut into phrases after any of ``. , ; : ! ? |``.
-The edit distance between lines counts phrases; lines of ``MIN_PHRASES`` phrases or more may differ
-in one, shorter ones in none.
+A line is lower-cased and its white space collapsed.  The edit distance between lines counts words, and the
+bound is one edit at a similarity (1 - distance / longer length) of 0.8: lines of 5 words and more may differ in
+one word, or one of them may lack a word (so 4 words against 5); shorter lines have a bound of 0, as one word in
+four is more than a fifth.
 
-Each different line emits a hashed key for itself and for each of its variants with one phrase
-deleted.  Lines within the bound share a key.  Within a key the earliest partner of the right kind
-is found by running minima, so no pairs are formed; the distance to it is then verified.
+Each different line that can have a partner emits a hashed key for itself and for each of its variants with one
+word deleted.  Lines within the bound share a key.  Within a key the earliest partner of the right kind is a
+minimum, so no pairs are formed; the distance to it is then verified on the texts.
+
+Which lines can have a partner is known beforehand without loss: one edit leaves the first or the second half of
+the words whole.  A line whose halves no other line has emits nothing.
 """
 
 from __future__ import annotations
@@ -16,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, load, written
 
-MIN_PHRASES = 5
-_BREAK = r"(?<=[.,;:!?|]) "
+LEAST_WORDS = 5  # of the longer line; 1 - 1 / 5 is the similarity 0.8
+BROADCAST_LINES = 1_000_000  # up to so many lines with possible partners (some 30 MB) are broadcast; more are shuffled
 _MASK = (1 << 42) - 1  # sums of up to two million of these fit into a long
 
 
@@ -36,25 +40,35 @@ def _ids() -> tuple[Column, Column]:
     return F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2")
 
 
+def _halves() -> Column:
+    """Hashes of a line's halves, as the shorter (or equal) of two lines and as the longer one; empty where the bound is 0.
+
+    The halves of a pair are cut by the shorter one's length n: its first n div 2 words and its last n - n div 2.
+    """
+    side = lambda n, head: f"xxhash64({n}, {head}, " + (f"slice(w, 1, ({n}) div 2)" if head else f"slice(w, size(w) - ({n}) + ({n}) div 2 + 1, ({n}) - ({n}) div 2)") + ")"
+    own, less = ([side(n, 1), side(n, 0)] for n in ("size(w)", "size(w) - 1"))
+    return F.expr(f"case when size(w) >= {LEAST_WORDS} then array({', '.join(own + less)}) when size(w) = {LEAST_WORDS - 1} then array({', '.join(own)}) else cast(array() as array<bigint>) end")
+
+
 def _variants(lines: DataFrame) -> DataFrame:
-    """(key, cut, doc, line): cut is the deleted phrase's position from 1, or 0 for the line itself.
+    """(key, cut, doc, line): cut is the deleted word's position from 1, or 0 for the line itself.
 
-    The hash of a phrase sequence is the sum of the hashes of its adjacent pairs (ends included), so a
-    deletion changes three terms and the variants of a line cost as much as the line.
+    The hash of a word sequence is taken of two sums over the hashes of its adjacent pairs (ends included), so a
+    deletion changes three terms of each and the variants of a line cost as much as the line.
     """
-    keys = F.expr(
-        f"""element_at(transform(array(concat(array(0), phrases, array(0))), p ->
-              element_at(transform(array(aggregate(sequence(1, size(p) - 1), 0L, (a, i) -> a + (xxhash64(p[i - 1], p[i]) & {_MASK}L))), s ->
-                transform(sequence(0, size(p) - 2), i -> if(i = 0, xxhash64(s, size(p)),
-                  xxhash64(s - (xxhash64(p[i - 1], p[i]) & {_MASK}L) - (xxhash64(p[i], p[i + 1]) & {_MASK}L) + (xxhash64(p[i - 1], p[i + 1]) & {_MASK}L), size(p) - 1)))
-              ), 1)), 1)"""
-    )
-    wide = lines.where(F.size("phrases") >= MIN_PHRASES)
-    return wide.select("doc", "line", F.posexplode(keys).alias("cut", "key"))
+    pair = lambda i, j, seed: f"(xxhash64({seed}, p[{i}], p[{j}]) & {_MASK}L)"
+    total = lambda c: f"aggregate({c}, 0L, (x, y) -> x + y)"
+    lines = lines.withColumn("p", F.expr("concat(array(''), split(norm, ' '), array(''))"))
+    lines = lines.withColumns({f"a{s}": F.expr(f"transform(sequence(1, size(p) - 1), i -> {pair('i - 1', 'i', s)})") for s in (0, 1)})
+    lines = lines.withColumns({f"s{s}": F.expr(total(f"a{s}")) for s in (0, 1)})
+    left = lambda s: f"s{s} - a{s}[i - 1] - a{s}[i] + {pair('i - 1', 'i + 1', s)}"
+    whole = "xxhash64(s0, s1, size(p))"
+    keys = f"if(size(p) - 2 < {LEAST_WORDS}, array({whole}), transform(sequence(0, size(p) - 2), i -> if(i = 0, {whole}, xxhash64({left(0)}, {left(1)}, size(p) - 1))))"
+    return lines.select("doc", "line", F.posexplode(F.expr(keys)).alias("cut", "key"))
 
 
 def _within_one(a: str, b: str) -> Column:
-    """Whether two phrase sequences have an edit distance of at most one."""
+    """Whether two word sequences have an edit distance of at most one."""
     same = f"zip_with({a}, {b}, (x, y) -> x <=> y)"
     back = f"zip_with(reverse({a}), reverse({b}), (x, y) -> x <=> y)"
     longest = f"greatest(size({a}), size({b}))"
@@ -62,6 +76,34 @@ def _within_one(a: str, b: str) -> Column:
     return F.expr(f"{shared(same)} + {shared(back)} >= {longest} - 1")
 
 
+def _candidates(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, line, norm) of the first lines that share a half with another one."""
+    halves = firsts.select("doc", "line", F.explode("halves").alias("half"))
+    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
+    some = cut(halves.join(cut(shared), "half", "left_semi").select("doc", "line").distinct())
+    if some.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES:
+        some = F.broadcast(some)
+    found = line_table(docs, id_col, text_col).join(some, ["doc", "line"], "left_semi")
+    return cut(found.groupBy("doc", "line").agg(F.min("norm").alias("norm")))
+
+
+def _partners(texts: DataFrame) -> DataFrame:
+    """(doc, line, p) with the earliest earlier line within one edit, for those of ``texts`` that have one."""
+    order = F.struct("doc", "line")
+    keyed = _variants(texts)
+    shared = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    near = cut(keyed.join(shared, "key").select("key", "cut", order.alias("o")))
+    least = near.groupBy("key").agg(F.min("o").alias("any"), F.min(F.when(F.col("cut") == 0, F.col("o"))).alias("whole"))
+    same = near.groupBy("key", "cut").agg(F.min("o").alias("same"))
+    partner = F.expr("if(cut = 0, any, least(whole, same))")  # what lacks a word differently may be two edits away
+    near = near.join(cut(least), "key").join(cut(same), ["key", "cut"])
+    near = cut(near.select("o", partner.alias("p")).where("p < o").distinct())
+    words = F.split("norm", " ")
+    a, b = (texts.select(order.alias(k), words.alias(f"w_{k}")) for k in ("o", "p"))
+    true = near.join(a, "o").join(b, "p").where(_within_one("w_o", "w_p"))
+    return true.groupBy("o").agg(F.min("p").alias("p")).select("o.doc", "o.line", "p")
+
+
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, line, kept_doc, kept_line, distance): each line that an earlier one within the bound precedes.
 
@@ -73,32 +115,14 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     lines = line_table(docs, id_col, text_col)
     h1, h2 = _ids()
-    phrases = F.transform(F.split("norm", _BREAK), lambda w: F.hash(w))
-    firsts = (
-        lines.select(h1, h2, F.struct("doc", "line", phrases.alias("phrases")).alias("x"))
-        .groupBy("h1", "h2").agg(F.min("x").alias("x"))
-        .select("h1", "h2", "x.*")
-    )
-    firsts = written(firsts, "lines")  # four branches use it
     order = F.struct("doc", "line")
-    keyed = _variants(firsts).select("key", "cut", order.alias("o"), F.expr("count(*) over (partition by key)").alias("n"))
-    near = keyed.where("n > 1")  # the minima below are taken of the few that share a key; the rows are in place by then
-    near = near.selectExpr(
-        "o",
-        "cut",
-        "min(o) over (partition by key) as any",
-        "min(if(cut = 0, o, null)) over (partition by key) as whole",
-        "min(o) over (partition by key, cut) as same",
-    )
-    partner = F.expr("if(cut = 0, any, least(whole, same))")
-    near = cut(near.select("o", partner.alias("p")).where("p < o").distinct())
-    wanted = near.select("o").union(near.select("p")).distinct().select("o.*")
-    texts = firsts.select("doc", "line", "phrases").join(wanted, ["doc", "line"])
-    a = texts.select(order.alias("o"), F.col("phrases").alias("a"))
-    b = texts.select(order.alias("p"), F.col("phrases").alias("b"))
-    true = near.join(a, "o").join(b, "p").where(_within_one("a", "b"))
-    true = true.groupBy("o").agg(F.min("p").alias("p")).select(F.col("o.doc").alias("doc"), F.col("o.line").alias("line"), "p")
-    lead = firsts.select("h1", "h2", "doc", "line").join(true, ["doc", "line"], "left").select("h1", "h2", order.alias("first"), "p")
+    firsts = lines.select("doc", "line", h1, h2, F.split("norm", " ").alias("w"))
+    firsts = firsts.select("h1", "h2", F.struct("doc", "line", _halves().alias("halves")).alias("x"))
+    firsts = firsts.groupBy("h1", "h2").agg(F.min("x").alias("x"), F.count("*").alias("n")).select("h1", "h2", "n", "x.*")
+    firsts = written(firsts, "lines")  # three branches use it
+    true = _partners(_candidates(docs, firsts, id_col, text_col))
+    lead = firsts.select("h1", "h2", "n", "doc", "line").join(true, ["doc", "line"], "left")
+    lead = cut(lead.where("n > 1 or p is not null").select("h1", "h2", order.alias("first"), "p"))
     each = lines.select("doc", "line", h1, h2).join(lead, ["h1", "h2"]).withColumn("o", order)
     gone = each.where("p is not null or o > first")
     kept = F.expr("if(o > first, first, p)")
@@ -112,7 +136,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     gone = duplicate_lines(docs, id_col, text_col).groupBy("doc").agg(F.collect_set("line").alias("__gone"))
     both = docs.join(gone.withColumnRenamed("doc", "__doc"), F.col(id_col) == F.col("__doc"), "left")
-    left = F.expr(f"array_join(filter(split(`{text_col}`, '\\n'), (x, i) -> not array_contains(`__gone`, i)), '\\n')")
+    both = both.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split(F.col(f"`{text_col}`"), "\n")))
+    left = F.expr("array_join(transform(array_except(sequence(0, size(__lines) - 1), __gone), i -> __lines[i]), '\\n')")
     out = both.withColumn("__new", F.when(F.col("__gone").isNotNull(), left))
     out = out.where("__new is null or trim(regexp_replace(__new, '\\\\s+', ' ')) <> ''")
     names = [c for c in docs.columns]
@@ -123,5 +148,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """The duplicate lines of ``documents``: (doc_id, line_no, kept_doc_id, kept_line_no, distance); nulls and ties as in duplicate_lines."""
     out = duplicate_lines(load(spark, sf_dir, "documents"))
     return out.withColumnsRenamed({"doc": "doc_id", "line": "line_no", "kept_doc": "kept_doc_id", "kept_line": "kept_line_no"})

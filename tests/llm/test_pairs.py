@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -82,10 +83,9 @@ def test_components_of_a_path(spark):
     assert connected_components(edges.limit(0)).count() == 0
 
 
-def phrases(line):
-    import re
-
-    return re.split(r"(?<=[.,;:!?|]) ", " ".join(line.lower().split()))
+def within_one(a, b):
+    """Whether the longer of two word lists has five words or more and they are one edit apart, or less."""
+    return max(len(a), len(b)) >= 5 and abs(len(a) - len(b)) <= 1 and distance(a, b) <= 1
 
 
 def distance(a, b):
@@ -107,8 +107,8 @@ def brute_lines(docs):
                 seen.setdefault(key, []).append((d[0], n))
     first = {min(v): k for k, v in seen.items()}
     for place, key in first.items():
-        p = phrases(key)
-        near = [q for q, other in first.items() if q < place and min(len(p), len(phrases(other))) >= lines.MIN_PHRASES and distance(p, phrases(other)) <= 1]
+        p = key.split()
+        near = [q for q, other in first.items() if q < place and other != key and within_one(p, other.split())]
         for copy in seen[key]:
             if copy != place:
                 out[copy] = (place, 0)
@@ -117,9 +117,11 @@ def brute_lines(docs):
     return out
 
 
-def test_duplicate_lines(spark):
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_duplicate_lines(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(lines, "BROADCAST_LINES", broadcast)
     rng = random.Random(11)
-    pool = [f"some phrase {i}," for i in range(60)]
+    pool = [f"word{i}," for i in range(12)]
     docs = []
     made = []
     for d in range(40):
@@ -139,7 +141,7 @@ def test_duplicate_lines(spark):
             own.append("  ".join(p) if rng.random() < 0.2 else " ".join(p).upper() if rng.random() < 0.2 else " ".join(p))
         docs.append((d * 2, "\n".join(own)))
     docs += [(101, None), (102, ""), (103, "\n\n \n")]
-    df = spark.createDataFrame([(*d, "x", 1) for d in docs] + [(None, "some phrase 1,", "y", 2)], "doc_id long, text string, line string, key int")
+    df = spark.createDataFrame([(*d, "x", 1) for d in docs] + [(None, "some words", "y", 2)], "doc_id long, text string, line string, key int")
     got = {(r["doc"], r["line"]): ((r["kept_doc"], r["kept_line"]), r["distance"]) for r in lines.duplicate_lines(df).collect()}
     want = brute_lines(docs)
     assert any(v[1] for v in want.values()) and got == want
@@ -150,10 +152,41 @@ def test_duplicate_lines(spark):
             assert ("\n".join(own) == left[i]["text"]) if "".join(own).strip() else i not in left
         else:
             assert left[i]["text"] == text
-    assert left[None]["text"] == "some phrase 1," and left[101]["line"] == "x"
+    assert left[None]["text"] == "some words" and left[101]["line"] == "x"
     assert lines.duplicate_lines(df.limit(0)).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_lines_of_the_tables_against_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    first = {}
+    for d, t in sorted((r for r in docs.collect()), key=lambda r: r[0]):
+        for n, line in enumerate((t or "").split("\n")):
+            if line.split():
+                first.setdefault(" ".join(line.lower().split()), (d, n))
+    rows = [(place, norm.split()) for norm, place in first.items()]
+    want = {}
+    for k, (place, a) in enumerate(rows):
+        for q, b in rows[:k]:
+            if max(len(a), len(b)) >= 5 and abs(len(a) - len(b)) <= 1 and one_edit(a, b):
+                want[place] = min(q, want.get(place, q))
+    got = {(r["doc"], r["line"]): (r["kept_doc"], r["kept_line"]) for r in lines.duplicate_lines(docs).where("distance = 1").collect()}
+    assert want and {p: q for p, q in got.items() if p in first.values()} == want
+
+
+def one_edit(a, b):
+    n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return a[n + 1 :] == b[n + 1 :] or a[n + 1 :] == b[n:] or a[n:] == b[n + 1 :]
+
+
+def test_lines_at_their_edges(spark):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, long), (2, long.replace("w777 ", "x ")), (3, long.replace("w777 ", "")), (4, "a b c d"), (5, "a b c e"), (6, "a b x c d"), (7, "a a a a a a"), (8, "a a a a a a a"), (8, None), (9, "\u00c4 b c d e f"), (9, "\u00e4  B c d\te f")]
+    df = spark.createDataFrame([(i, t, "n") for i, t in rows], "doc_id long, text string, norm string")
+    got = {(r["doc"], r["line"]): (r["kept_doc"], r["distance"]) for r in lines.duplicate_lines(df).collect()}
+    assert got == {(2, 0): (1, 1), (3, 0): (1, 1), (6, 0): (4, 1), (8, 0): (7, 1)}  # rows of one id and place are one line
+
+
 def best_match(item, text):
     row = [0] * (len(text) + 1)
     for i, x in enumerate(item, 1):
