@@ -7,7 +7,7 @@ four is more than a fifth.
 
 Each different line that can have a partner emits a hashed key for itself and for each of its variants with one
 word deleted.  Lines within the bound share a key.  Within a key the earliest partner of the right kind is a
-minimum, so no pairs are formed; the distance to it is then verified on the texts.
+minimum, so no pairs are formed (keys that very many lines share take partial minima); the distance to it is then verified on the texts.
 
 Which lines can have a partner is known beforehand without loss: one edit leaves the first or the second half of
 the words whole.  A line whose halves no other line has emits nothing.
@@ -22,6 +22,7 @@ from .common import cut, load, written
 
 LEAST_WORDS = 5  # of the longer line; 1 - 1 / 5 is the similarity 0.8
 BROADCAST_LINES = 1_000_000  # up to so many lines with possible partners (some 30 MB) are broadcast; more are shuffled
+HOT_KEY = 10_000  # keys of more rows than this are taken apart
 _MASK = (1 << 42) - 1  # sums of up to two million of these fit into a long
 
 
@@ -76,28 +77,40 @@ def _within_one(a: str, b: str) -> Column:
     return F.expr(f"{shared(same)} + {shared(back)} >= {longest} - 1")
 
 
+def _checked(keys: DataFrame) -> DataFrame:
+    """A table of keys, to be broadcast if it is small."""
+    keys = cut(keys)
+    return F.broadcast(keys) if keys.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES else keys
+
+
 def _candidates(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, line, norm) of the first lines that share a half with another one."""
     halves = firsts.select("doc", "line", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    some = cut(halves.join(cut(shared), "half", "left_semi").select("doc", "line").distinct())
-    if some.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES:
-        some = F.broadcast(some)
+    some = _checked(halves.join(cut(shared), "half", "left_semi").select("doc", "line").distinct())
     found = line_table(docs, id_col, text_col).join(some, ["doc", "line"], "left_semi")
     return cut(found.groupBy("doc", "line").agg(F.min("norm").alias("norm")))
 
 
+def _crowded(keyed: DataFrame) -> DataFrame:
+    """The minima of _partners() for keys that very many rows share: partial aggregates and joins, which split, in place of windows."""
+    order = F.struct("doc", "line")
+    near = cut(keyed.select("key", "cut", order.alias("o")))
+    least = near.groupBy("key").agg(F.min("o").alias("any"), F.min(F.when(F.col("cut") == 0, F.col("o"))).alias("whole"))
+    same = near.groupBy("key", "cut").agg(F.min("o").alias("same"))
+    return near.join(cut(least), "key").join(cut(same), ["key", "cut"]).select("o", "cut", "any", "whole", "same")
+
+
 def _partners(texts: DataFrame) -> DataFrame:
     """(doc, line, p) with the earliest earlier line within one edit, for those of ``texts`` that have one."""
     order = F.struct("doc", "line")
     keyed = _variants(texts)
-    shared = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    near = cut(keyed.join(shared, "key").select("key", "cut", order.alias("o")))
-    least = near.groupBy("key").agg(F.min("o").alias("any"), F.min(F.when(F.col("cut") == 0, F.col("o"))).alias("whole"))
-    same = near.groupBy("key", "cut").agg(F.min("o").alias("same"))
+    hot = _checked(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT_KEY).select("key"))
+    few = keyed.join(hot, "key", "left_anti").select("key", "cut", order.alias("o"), F.expr("count(*) over (partition by key) as n")).where("n > 1")
+    few = few.selectExpr("o", "cut", "min(o) over (partition by key) as any", "min(if(cut = 0, o, null)) over (partition by key) as whole", "min(o) over (partition by key, cut) as same")
+    both = few.unionByName(_crowded(keyed.join(hot, "key", "left_semi")))
     partner = F.expr("if(cut = 0, any, least(whole, same))")  # what lacks a word differently may be two edits away
-    near = near.join(cut(least), "key").join(cut(same), ["key", "cut"])
-    near = cut(near.select("o", partner.alias("p")).where("p < o").distinct())
+    near = cut(both.select("o", partner.alias("p")).where("p < o").distinct())
     words = F.split("norm", " ")
     a, b = (texts.select(order.alias(k), words.alias(f"w_{k}")) for k in ("o", "p"))
     true = near.join(a, "o").join(b, "p").where(_within_one("w_o", "w_p"))

@@ -120,6 +120,7 @@ def brute_lines(docs):
 @pytest.mark.parametrize("broadcast", [0, 1_000_000])
 def test_duplicate_lines(spark, monkeypatch, broadcast):
     monkeypatch.setattr(lines, "BROADCAST_LINES", broadcast)
+    monkeypatch.setattr(lines, "HOT_KEY", 2 if broadcast else 10_000)
     rng = random.Random(11)
     pool = [f"word{i}," for i in range(12)]
     docs = []
