@@ -6,8 +6,11 @@ so it pops only states on one of the N best paths.
 
 No piece of a SentencePiece model crosses from one word into the next, nor (checked when the model
 is read) from Latin letters to other characters.  The lattice therefore falls into independent
-parts; each different part is searched once and kept, and the N best sums over parts come from the
-parts with the smallest score gaps.
+parts; each different part is searched once and kept, and the N best segmentations of the whole come
+from the parts with the smallest score gaps.
+
+The scores are the model's own.  Those of a BPE model are merge ranks, so the best path over them is not the
+order in which BPE merges, and its ids differ from the library's own encoding; decoding is exact either way.
 """
 
 from __future__ import annotations
@@ -17,7 +20,6 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 from operator import itemgetter
 
 import numpy as np
@@ -33,6 +35,7 @@ NBEST = 2
 CACHE = 150_000  # parts in each of the two generations that a task keeps (about 50 MB each)
 LONGEST = 48  # characters of a part that is kept
 BYTE_PENALTY = 10.0
+LITERAL = (SPACE,)  # the part that stands for a space mark in the text itself; no string equals it
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 
 
@@ -63,6 +66,10 @@ class Vocabulary:
         )
 
 
+def packed(ids: list[int] | tuple[int, ...]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 class PieceTable:
     """Pieces by a 64-bit hash, for look-ups of whole arrays."""
 
@@ -83,7 +90,6 @@ class PieceTable:
             self.levels.append((np.uint64(64 - bits), table, index))
             left, keys = np.delete(left, first), keys * self.FACTOR
         self.rest = {n: pieces[n] for n in (names[i] for i in left)}  # none, as a rule
-        self.scores = np.array([pieces[n][0] for n in names] + [-np.inf])
         self.ids = np.array([pieces[n][1] for n in names] + [-1], np.int32)
 
     @classmethod
@@ -122,13 +128,16 @@ class Segmenter:
         self.kept: dict[str, tuple] = {}
         self.before: dict[str, tuple] = {}
         self.table = PieceTable(self.pieces)
+        self.sizes = [len(p) for p in self.pieces]
+        spelled = [self.low * (k if vocab.byte_ids else 1) for k in (1, 2, 3, 4)]
+        self.arc_scores = np.array([x for x, _ in self.pieces.values()] + spelled + [-np.inf])
         mark = SPACE.encode()
         self.raw = [n.encode("utf-8", "surrogatepass").replace(mark, b" ") for n in vocab.names]
         for byte, i in enumerate(vocab.byte_ids):
             self.raw[i] = bytes([byte])
 
     def _fallback(self, c: str) -> tuple[float, tuple[int, ...]]:
-        raw = b"\xe2\x96\x81" if c == "\x00" + SPACE else c.encode("utf-8", "surrogatepass")
+        raw = c.encode("utf-8", "surrogatepass")
         if self.vocab.byte_ids:
             return self.low * len(raw), tuple(self.vocab.byte_ids[b] for b in raw)
         return self.low, (self.vocab.unk,)
@@ -181,104 +190,121 @@ class Segmenter:
                 push(heap, (-(g + best[start]), start, made, g, (ids_, path)))
         return out
 
-    def two(self, part: str) -> tuple[float, tuple[int, ...], tuple[float, ...]]:
-        """What part() keeps, for N = 2.
-
-        While A* walks back along the best path it pushes that path's alternatives, each with an exact
-        total from the forward pass.  The best of them is the runner-up, so no queue is needed.
-        """
-        get, longest, low = self.pieces.get, self.longest, -float("inf")
-        best, back, arcs = [0.0], [None], [None]
-        for end in range(1, len(part) + 1):
-            top, here, arc = low, [], None
-            for start in range(end - longest if end > longest else 0, end):
-                got = get(part[start:end])
-                if got is not None:
-                    total = best[start] + got[0]
-                    here.append(total)
-                    if total > top:
-                        top, arc = total, (start, got[1])
-            if part[end - 1] not in self.pieces:
-                score, ids = self._fallback(part[end - 1])
-                total = best[end - 1] + score
-                here.append(total)
-                if total > top:
-                    top, arc = total, (end - 1, ids)
-            best.append(top)
-            back.append(arc)
-            arcs.append(here)
-        gap, ids, at = float("inf"), [], len(part)
-        while at:
-            here = arcs[at]
-            if len(here) > 1:
-                here.sort()
-                if here[-1] - here[-2] < gap:
-                    gap = here[-1] - here[-2]
-            at, piece = back[at]
-            if type(piece) is tuple:
-                ids.extend(reversed(piece))
-            else:
-                ids.append(piece)
-        ids.reverse()
-        return best[-1], tuple(ids), (gap,)
-
-    def fill(self, parts: list[str]) -> None:
-        """two() for many different parts at once, in arrays; parts that need a fallback are left out."""
-        table, kept = self.table, self.kept
+    def search_all(self, parts: list[str], n: int) -> list[tuple[tuple[float, bytes], ...]]:
+        """search() of many parts of LONGEST characters at most: the same A*, a step of all parts at a time in arrays.  Ids are packed."""
+        out: list = [()] * len(parts)
         lengths = np.array([len(p) for p in parts])
-        for low, high in ((1, 6), (7, 9), (10, 12), (13, 16), (17, 24), (25, LONGEST)):
+        for low, high in ((0, 6), (7, 9), (10, 12), (13, 16), (17, 24), (25, LONGEST)):
             where = np.flatnonzero((lengths >= low) & (lengths <= high))
-            for lo in range(0, len(where), 8192):
-                rows = where[lo : lo + 8192]
-                own = [parts[i] for i in rows]
-                self._fill(table, own, lengths[rows], high, kept)
-
-    def _fill(self, table: PieceTable, own: list[str], lengths: np.ndarray, width: int, kept: dict) -> None:
-        n = len(own)
-        cps = np.array(own, f"<U{width}").view(np.uint32).reshape(n, width).T.astype(np.uint64) + np.uint64(1)
-        top = np.full((width + 1, n), -np.inf)
-        second, back, piece = top.copy(), np.zeros((width + 1, n), np.int32), np.full((width + 1, n), -1, np.int32)
-        top[0] = 0
-        plain = np.ones(n, bool)  # all characters have pieces of their own
+            rows = 98_304 // high
+            for lo in range(0, len(where), rows):
+                some = where[lo : lo + rows]
+                for i, found in zip(some.tolist(), self._search_all([parts[i] for i in some], lengths[some], high, n), strict=True):
+                    out[i] = found
+        return out
+
+    def _forward_all(self, own: list[str], lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Arcs (end, length - 1, part), as places in the score list or -1, and the best score up to each end."""
+        n, longest, table = len(own), min(width, self.longest), self.table
+        cps = np.array(own, f"<U{width}").view(np.uint32).reshape(n, width).T
+        arcs = np.full((width + 1, longest, n), -1, np.int32)
+        best = np.full((width + 1, n), -np.inf)
+        best[0] = 0
+        keys = cps.astype(np.uint64) + np.uint64(1)
         for start in range(width):
             h = np.zeros(n, np.uint64)
-            for end in range(start + 1, min(width, start + self.longest) + 1):
-                h = (h * np.uint64(0x100000001B3) + cps[end - 1]) * table.FACTOR
+            for end in range(start + 1, min(width, start + longest) + 1):
+                h = (h * np.uint64(0x100000001B3) + keys[end - 1]) * table.FACTOR
                 at = table.find(h)
+                if end == start + 1:  # a character without a piece of its own gets its bytes
+                    size = 1 + (cps[start] >= 0x80) + (cps[start] >= 0x800) + (cps[start] >= 0x10000)
+                    at = np.where((at < 0) & (start < lengths), len(self.pieces) + size - 1, at)
                 hit = np.flatnonzero(at >= 0)
-                if end == start + 1:
-                    plain &= (at >= 0) | (lengths <= start)
                 if not len(hit):
                     continue
                 got = at[hit]
-                total = top[start, hit] + table.scores[got]
-                best = top[end, hit]
-                better = total > best
-                second[end, hit] = np.maximum(second[end, hit], np.where(better, best, total))
-                won = hit[better]
-                top[end, won] = total[better]
-                back[end, won] = start
-                piece[end, won] = table.ids[got[better]]
-        ids, counts, gap = np.zeros((n, width), np.int32), np.zeros(n, np.int64), np.full(n, np.inf)
-        rows, at = np.arange(n), lengths.copy()
-        score = top[at, rows]
-        while True:
-            live = np.flatnonzero(at > 0)
-            if not len(live) or not plain.any():
-                break
-            place = at[live]
-            with np.errstate(invalid="ignore"):
-                gap[live] = np.fmin(gap[live], top[place, live] - second[place, live])
-            ids[live, counts[live]] = piece[place, live]
-            counts[live] += 1
-            at[live] = back[place, live]
-        for i, (p, ok, k, row, s, g) in enumerate(zip(own, plain.tolist(), counts.tolist(), ids.tolist(), score.tolist(), gap.tolist(), strict=True)):
-            if ok:
-                kept[p] = (s, tuple(row[k - 1 :: -1] if k < len(row) + 1 and k else ()), (g,))
-
-    def prepare(self, texts: list[list[str]]) -> None:
-        """Finds the parts of some texts that are not kept yet, all at once."""
-        if self.nbest != 2 or self.table.rest:
+                arcs[end, end - start - 1, hit] = got
+                best[end, hit] = np.maximum(best[end, hit], best[start, hit] + self.arc_scores[got])
+        return arcs, best
+
+    def _search_all(self, own: list[str], lengths: np.ndarray, width: int, n: int) -> list[tuple]:
+        """Each step pops the best open state of every part that still lacks paths and pushes what leads to it.
+
+        The states that one step pushes form a block, so a state's place tells the step, and the step its parent.
+        Among equals the state pushed last goes first, which is on the longer path.
+        """
+        arcs, best = self._forward_all(own, lengths, width)
+        wide, m = arcs.shape[1], len(own)
+        lens = np.arange(1, wide + 1)
+        room, used = 10 * wide, 0
+        open_, scored = np.empty((m, room)), np.empty((m, room))  # priorities and own scores of the states
+        place, took = np.empty((m, room), np.int16), np.empty((m, room), np.int32)
+        parents: list[np.ndarray] = []
+        live, pos, done, state = np.arange(m), lengths.astype(np.int64), np.zeros(m), np.full(m, -1)
+        found, totals, lasts = np.zeros(m, np.int64), np.zeros((m, n)), np.full((m, n), -1)
+        while len(live):
+            ended = np.flatnonzero(pos == 0)
+            if len(ended):
+                rows = live[ended]
+                totals[rows, found[rows]], lasts[rows, found[rows]] = done[ended], state[ended]
+                found[rows] += 1
+            if used == room:
+                open_, scored, place, took = (np.concatenate([x, np.empty_like(x)], axis=1) for x in (open_, scored, place, took))
+                room *= 2
+            a = arcs[pos, :, live]
+            start = np.maximum(pos[:, None] - lens, 0)
+            g = done[:, None] + self.arc_scores[a]
+            f = g + best[start, live[:, None]]
+            f[a < 0] = -np.inf
+            f[ended] = -np.inf
+            block = slice(used, used + wide)
+            open_[live, block], scored[live, block], place[live, block], took[live, block] = f, g, start, a
+            parent = np.full(m, -1)
+            parent[live] = state
+            parents.append(parent)
+            used += wide
+            if len(ended):
+                live = live[found[live] < n]
+            rows = open_[live, :used]
+            state = used - 1 - rows[:, ::-1].argmax(axis=1)
+            some = rows[np.arange(len(live)), state] > -np.inf
+            if not some.all():
+                live, state = live[some], state[some]
+            open_[live, state] = -np.inf
+            pos, done = place[live, state].astype(np.int64), scored[live, state]
+        steps = np.stack(parents)
+        at, row = lasts.reshape(-1), np.repeat(np.arange(m), n)
+        seqs, counts = np.zeros((m * n, width), np.int32), np.zeros(m * n, np.int64)
+        on = np.flatnonzero(at >= 0)
+        while len(on):  # back to the end of the text: the pieces come in order
+            here, rows = at[on], row[on]
+            seqs[on, counts[on]] = took[rows, here]
+            counts[on] += 1
+            at[on] = steps[here // wide, rows]
+            on = on[at[on] >= 0]
+        raw = self.table.ids[np.minimum(seqs, len(self.pieces))].tobytes()
+        size = 4 * width
+        spelled = [raw[k * size : k * size + 4 * c] for k, c in enumerate(counts.tolist())]
+        for k in np.flatnonzero((seqs >= len(self.pieces)).any(axis=1)).tolist():
+            spelled[k] = self._spelled(own[k // n], seqs[k, : counts[k]].tolist())
+        scores = totals.reshape(-1).tolist()
+        return [tuple(zip(scores[k : k + c], spelled[k : k + c], strict=True)) for k, c in zip(range(0, m * n, n), found.tolist(), strict=True)]
+
+    def _spelled(self, part: str, arcs: list[int]) -> bytes:
+        """The ids of a path with characters that are sent as bytes."""
+        out, at = [], 0
+        for a in arcs:
+            if a < len(self.pieces):
+                out.append(int(self.table.ids[a]))
+                at += self.sizes[a]
+            else:
+                out.extend(self._fallback(part[at])[1])
+                at += 1
+        return packed(out)
+
+    def prepare(self, texts: list[list]) -> None:
+        """Searches the parts of some texts that are not kept yet, all at once."""
+        if self.table.rest:
             return
         if len(self.kept) >= CACHE:
             self.before, self.kept = self.kept, {}
@@ -289,20 +315,21 @@ class Segmenter:
         for p in [p for p in new if p in before]:
             kept[p] = before[p]
             new.discard(p)
-        self.fill([p for p in new if len(p) <= LONGEST and p[0] != "\x00"])
+        new = [p for p in new if p is not LITERAL and len(p) <= LONGEST]
+        for p, found in zip(new, self.search_all(new, self.nbest), strict=True):
+            kept[p] = self._entry(found)
 
-    def part(self, part: str) -> tuple[float, tuple[int, ...], tuple[float, ...]]:
-        """(best score, its ids, what each next best loses against it); kept for later texts."""
+    @staticmethod
+    def _entry(found: tuple) -> tuple:
+        """What is kept of a part: the best score and ids, what the next best loses, and all that was found."""
+        return found[0][0], found[0][1], found[0][0] - found[1][0] if len(found) > 1 else float("inf"), found
+
+    def part(self, part: str | tuple) -> tuple:
+        """The entry of one part; kept for later texts."""
         got = self.before.get(part)
         if got is None:
-            if part[0] == "\x00":  # a literal space mark
-                score, ids = self._fallback(part)
-                got = (score, ids, (float("inf"),))
-            elif self.nbest == 2:
-                got = self.two(part)
-            else:
-                found = self.search(part, self.nbest)
-                got = (found[0][0], tuple(found[0][1]), tuple([found[0][0] - s for s, _ in found[1:]]) or (float("inf"),))
+            found = [self._fallback(SPACE)] if part is LITERAL else self.search(part, self.nbest)
+            got = self._entry(tuple((score, packed(ids)) for score, ids in found))
         if len(part) <= LONGEST:
             if len(self.kept) >= CACHE:
                 self.before, self.kept = self.kept, {}
@@ -316,17 +343,17 @@ class Segmenter:
         # a literal space mark would decode to a blank: it is sent as bytes, as a part of its own
         out = self.split(SPACE + text.split(SPACE, 1)[0].replace(" ", SPACE))
         for piece in text.split(SPACE)[1:]:
-            out.append("\x00" + SPACE)
+            out.append(LITERAL)
             out += self.split(piece.replace(" ", SPACE)) if piece else []
         return out
 
     def encode(self, text: str) -> tuple[list[int], float]:
         """Ids and score of the best segmentation."""
-        ids, scores = self.best(text)
-        return ids, scores[0]
+        score, ids = self.best(text)[0]
+        return ids.tolist(), score
 
-    def best(self, text: str, parts: list[str] | None = None) -> tuple[list[int], list[float]]:
-        """The best ids, and the scores of the N best segmentations of the whole text.
+    def best(self, text: str, parts: list | None = None) -> list[tuple[float, np.ndarray]]:
+        """(score, ids) of the N best segmentations of the whole text, best first; fewer if it has fewer.
 
         A path among the N best changes no part outside the N - 1 of the smallest gaps, since each of
         those alone would beat it.
@@ -335,14 +362,28 @@ class Segmenter:
         got = list(map(self.kept.get, parts))
         if None in got:
             got = [g or self.part(p) for g, p in zip(got, parts, strict=True)]
-        ids = list(chain.from_iterable(map(itemgetter(1), got)))
-        total, sums = sum(map(itemgetter(0), got)), [0.0]
-        for losses in heapq.nsmallest(self.nbest - 1, map(itemgetter(2), got)) if self.nbest > 1 else []:
-            sums = heapq.nsmallest(self.nbest, [a + b for a in sums for b in (0.0, *losses)])
-        return ids, [total - s for s in sums if s < float("inf")]
+        spelled = list(map(itemgetter(1), got))
+        raw = b"".join(spelled)
+        total, sums = sum(map(itemgetter(0), got)), [(0.0, ())]
+        gaps = list(map(itemgetter(2), got))
+        least = [gaps.index(min(gaps))] if self.nbest == 2 else heapq.nsmallest(self.nbest - 1, range(len(gaps)), gaps.__getitem__)
+        for k in least:
+            first, *rest = got[k][3]
+            grown = [(loss + first[0] - s, (*changes, (k, own))) for loss, changes in sums for s, own in rest]
+            sums = heapq.nsmallest(self.nbest, sums + grown, key=itemgetter(0))
+        out = [(total, np.frombuffer(raw, np.int32))]
+        for loss, changes in sums[1:]:
+            made, at = [], 0
+            for k, own in sorted(changes):
+                begin = sum(map(len, spelled[:k]))
+                made += [raw[at:begin], own]
+                at = begin + len(spelled[k])
+            out.append((total - loss, np.frombuffer(b"".join([*made, raw[at:]]), np.int32)))
+        return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text; exact for what encode() gives where the model has byte pieces."""
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
@@ -359,43 +400,52 @@ def segmenter(vocab: Vocabulary, nbest: int) -> Segmenter:
 
 
 def encode_documents(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text", nbest: int = NBEST) -> DataFrame:
-    """(id, ids array<int>, n_pieces, scores array<double>, round_trip) for every row.
+    """(id, ids array<int>, n_pieces, scores array<double>, others array<array<int>>, round_trip) for every row.
 
-    ``scores`` are those of the N best segmentations of the whole text, fewer if it has fewer.
-    ``round_trip`` tells whether decoding gives the text back.  An empty text is the space mark alone; a
-    null text has no pieces, no scores and a null round_trip.  Other columns are not read.
+    ``scores`` are those of the N best segmentations of the whole text, fewer if it has fewer; ``ids`` is the best
+    one and ``others`` holds the next ones.  ``round_trip`` tells whether decoding gives the text back from each.
+    An empty text is the space mark alone; a null text has no pieces, no scores and a null round_trip.  Ties go
+    to one of the equals.  Other columns are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
+    def rows_of(own: Segmenter, part: pa.RecordBatch) -> pa.RecordBatch:
+        flat, counts, scores, trips, more, many = [], [], [], [], [], []
+        texts = part.column(1).to_pylist()
+        split = [None if t is None else own.parts(t) for t in texts]
+        own.prepare([p for p in split if p])
+        for text, parts in zip(texts, split, strict=True):
+            if text is None:
+                counts.append(0), scores.append([]), trips.append(None), many.append(0)
+                continue
+            found = own.best(text, parts)
+            flat.append(found[0][1])
+            counts.append(len(found[0][1]))
+            scores.append([x for x, _ in found])
+            more += [ids for _, ids in found[1:]]
+            many.append(len(found) - 1)
+            trips.append(all(own.decode(ids) == text for _, ids in found))
+        places = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        lists = lambda arrays, sizes: pa.ListArray.from_arrays(places(sizes), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32)))
+        others = pa.ListArray.from_arrays(places(many), lists(more, [len(x) for x in more]))
+        columns = [part.column(0), lists(flat, counts), pa.array(counts, pa.int64()), pa.array(scores, pa.list_(pa.float64())), others, pa.array(trips, pa.bool_())]
+        return pa.RecordBatch.from_arrays(columns, names=["id", "ids", "n_pieces", "scores", "others", "round_trip"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = segmenter(vocab, nbest)
         gc.disable()  # millions of small tuples without cycles
-        for part in slices(batches):
-            flat, counts, scores, trips = [], [], [], []
-            texts = part.column(1).to_pylist()
-            split = [None if t is None else own.parts(t) for t in texts]
-            own.prepare([p for p in split if p])
-            for text, parts in zip(texts, split, strict=True):
-                if text is None:
-                    counts.append(0), scores.append([]), trips.append(None)
-                    continue
-                ids, found = own.best(text, parts)
-                flat.append(np.array(ids, np.int32))
-                counts.append(len(ids))
-                scores.append(found)
-                trips.append(own.decode(ids) == text)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-            values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.ListArray.from_arrays(offsets, values), pa.array(counts, pa.int64()), pa.array(scores, pa.list_(pa.float64())), pa.array(trips, pa.bool_())],
-                names=["id", "ids", "n_pieces", "scores", "round_trip"],
-            )
-        own.kept, own.before = {}, {}
-        gc.enable()
-
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>, n_pieces long, scores array<double>, round_trip boolean")
+        try:
+            for part in slices(batches):
+                yield rows_of(own, part)
+        finally:
+            own.kept, own.before = {}, {}
+            gc.enable()
+
+    schema = f"id {kind}, ids array<int>, n_pieces long, scores array<double>, others array<array<int>>, round_trip boolean"
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
     return out.withColumnRenamed("id", id_col)
 
 
 def op7_nbest_pieces(spark, sf_dir: str, model: str = MODEL) -> DataFrame:
+    """The two best segmentations of every text of ``documents`` and whether they decode to it; nulls as in encode_documents."""
     return encode_documents(load(spark, sf_dir, "documents"), Vocabulary.read(model))

@@ -132,36 +132,57 @@ def all_paths(seg, part):
     return sorted(out, key=lambda x: -x[0])
 
 
+def is_nbest(got, want, n):
+    """Whether (score, ids) pairs are n best ones of all: equal scores, different paths, each with its own score."""
+    scores = {tuple(ids): s for s, ids in want}
+    got = [(s, np.frombuffer(ids, np.int32).tolist() if isinstance(ids, bytes) else list(ids)) for s, ids in got]
+    assert [round(s, 6) for s, _ in got] == [round(s, 6) for s, _ in want[:n]]
+    assert len({tuple(ids) for _, ids in got}) == len(got) and all(abs(scores[tuple(ids)] - s) < 1e-9 for s, ids in got)
+    return True
+
+
 def test_nbest_against_all_paths():
     rng = random.Random(4)
     for n in (1, 2, 3, 5):
         seg = pieces.Segmenter(toy(), n)
         for _ in range(60):
             text = "".join(rng.choice("abc é") for _ in range(rng.randint(0, 7)))
-            want = all_paths(seg, pieces.SPACE + text.replace(" ", pieces.SPACE))
-            ids, scores = seg.best(text)
-            assert [round(s, 6) for s in scores] == [round(s, 6) for s, _ in want[:n]]
-            assert abs(sum(s for s, i in want if i == tuple(ids)) / max(1, sum(i == tuple(ids) for _, i in want)) - want[0][0]) < 1e-9
-            assert seg.decode(ids) == text
             part = pieces.SPACE + text.replace(" ", pieces.SPACE)
-            assert [round(s, 6) for s, _ in seg.search(part, n)] == [round(s, 6) for s, _ in want[:n]]
+            want = all_paths(seg, part)
+            got = seg.best(text)
+            assert is_nbest(got, want, n) and all(seg.decode(ids) == text for _, ids in got)
+            assert is_nbest(seg.search(part, n), want, n) and is_nbest(seg.search_all([part], n)[0], want, n)
+            seg.prepare([seg.parts(text)])
+            assert is_nbest(seg.best(text), want, n)
 
 
 def test_array_search_equals_queue():
     rng = random.Random(5)
+    for n in (1, 2, 4):
+        seg = pieces.Segmenter(toy(), n)
+        words = list({"▁" + "".join(rng.choice("abcx") for _ in range(rng.randint(0, 40))) for _ in range(300)}) + ["\x00", "\x00ab", "😀é\x00a"]
+        for w, found in zip(words, seg.search_all(words, n), strict=True):
+            want = seg.search(w, n)
+            assert [round(s, 6) for s, _ in found] == [round(s, 6) for s, _ in want] and len({ids for _, ids in found}) == len(found)
+            assert all(b"".join(seg.raw[i] for i in np.frombuffer(ids, np.int32)).decode() == w.replace("▁", " ") for _, ids in found)
+
+
+def test_every_part_is_searched(spark, monkeypatch):
+    calls = []
+    one, many = pieces.Segmenter.search, pieces.Segmenter.search_all
+    monkeypatch.setattr(pieces.Segmenter, "search", lambda self, part, n: calls.append(part) or one(self, part, n))
+    monkeypatch.setattr(pieces.Segmenter, "search_all", lambda self, parts, n: calls.extend(parts) or many(self, parts, n))
     seg = pieces.Segmenter(toy(), 2)
-    words = list({"▁" + "".join(rng.choice("abcx") for _ in range(rng.randint(0, 20))) for _ in range(300)})
-    seg.fill(words)
-    assert 0 < len(seg.kept) < len(words)  # those with a fallback are left out
-    for w in seg.kept:
-        found, (score, ids, losses) = seg.search(w, 2), seg.kept[w]
-        assert score == found[0][0] and "".join(seg.vocab.names[i] for i in ids) == w
-        assert losses[0] == (score - found[1][0] if len(found) > 1 else float("inf"))
+    texts = ["abc ca xyz", "ca é", "a" * 99, "", "\x00a ▁b"]
+    seg.prepare([seg.parts(t) for t in texts])
+    for t in texts:
+        assert all(seg.decode(ids) == t for _, ids in seg.best(t))
+    assert sorted(calls) == sorted({p for t in texts for p in seg.parts(t) if p is not pieces.LITERAL})
 
 
 @pytest.mark.skipif(not os.path.exists(pieces.MODEL), reason="no model")
 def test_real_model_round_trip(spark):
-    texts = ["", " ", "  a  b ", "▁", "x▁▁ y", "日本語\n\ttab", "naïve café, (1999).", None, "a" * 3000, "The same The same", "😀\u0000\r\n"]
+    texts = ["", " ", "  a  b ", "▁", "x▁▁ y", "日本語\n\ttab", "naïve café, (1999).", None, "a" * 3000, "The same The same", "😀\u0000\r\n", "a\x00世界", "\x00▁\x00"]
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(None, "n", 1), (0, "", 1)], "doc_id long, text string, ids int")
     vocab = pieces.Vocabulary.read(pieces.MODEL)
     got = pieces.encode_documents(df, vocab).collect()
@@ -171,6 +192,10 @@ def test_real_model_round_trip(spark):
             assert r["round_trip"] is None and r["ids"] == [] and r["scores"] == []
         else:
             assert r["round_trip"] and r["n_pieces"] == len(r["ids"]) > 0 and r["scores"] == sorted(r["scores"], reverse=True)
+            assert len(r["others"]) == len(r["scores"]) - 1 and r["ids"] not in r["others"]
+    seg = pieces.Segmenter(vocab)
+    part = "\x00世界"
+    assert seg.best("a" + part)[0][0] == seg.search("▁a", 1)[0][0] + seg.search(part, 1)[0][0]
     assert pieces.encode_documents(df.limit(0), vocab).count() == 0
 
 
