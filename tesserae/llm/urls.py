@@ -59,19 +59,22 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     urls = urls.withColumn("suffixes", suffixes).withColumn("lens", lens)
     expr = F.flatten(F.transform("suffixes", lambda s: F.transform("lens", lambda n: F.concat(s, F.substring(F.col("path"), F.lit(1), n)))))
     wide = urls.select("row", "id", "host", "path", F.explode_outer(expr).alias("expr"))
-    wide = wide.withColumn("digest", F.sha2(F.col("expr").cast("binary"), 256)).withColumn("short", F.substring("digest", 1, PREFIX))
+    digest = F.sha2(F.col("expr").cast("binary"), 256)
+    # a URL without an expression gets a key of its own, which no prefix equals, so these rows are spread
+    wide = wide.withColumn("digest", digest).withColumn("short", F.coalesce(F.substring("digest", 1, PREFIX), F.concat(F.lit("-"), F.col("row").cast("string"))))
     known = rules.select(F.concat("host", "path").alias("rule"), F.col("verdict").alias("v"))
     known = known.groupBy("rule").agg(F.max(F.struct(F.expr("v = 'block'").alias("block"), "v")).alias("v")).select("rule", "v.v")
-    known = known.withColumn("full", F.sha2(F.col("rule").cast("binary"), 256)).withColumn("key", F.substring("full", 1, PREFIX))
+    known = known.withColumn("full", F.sha2(F.col("rule").cast("binary"), 256)).withColumn("short", F.substring("full", 1, PREFIX))
     if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
         known = F.broadcast(known)
-    hits = wide.join(known, (F.col("short") == F.col("key")) & (F.col("digest") == F.col("full")), "left")
-    best = F.max(F.when(F.col("rule").isNotNull(), F.struct(F.length("rule").alias("n"), F.expr("v = 'block'").alias("block"), "rule", "v")))
+    hits = wide.join(known, "short", "left")  # on the short prefix alone; the digest confirms below
+    best = F.max(F.when(F.col("digest") == F.col("full"), F.struct(F.length("rule").alias("n"), F.expr("v = 'block'").alias("block"), "rule", "v")))
     out = hits.groupBy("row", "id", "host", "path").agg(best.alias("best"))
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.v", F.lit(default)).alias("verdict"))
 
 
 def op3_url_filter(spark, sf_dir: str) -> DataFrame:
+    """The verdict on every URL of ``pages`` under RULES; null URLs and ties as in judge()."""
     from .common import load
 
     return judge(load(spark, sf_dir, "pages"), rule_table(spark))
