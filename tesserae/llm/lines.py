@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import cut, load, written
 
 LEAST_WORDS = 5  # of the longer line; 1 - 1 / 5 is the similarity 0.8
-BROADCAST_LINES = 1_000_000  # up to so many lines with possible partners (some 30 MB) are broadcast; more are shuffled
+BROADCAST_LINES = 300_000  # tables of up to so many lines or keys (some 30 MB) are broadcast; larger ones are shuffled
 HOT_KEY = 10_000  # keys of more rows than this are taken apart
 _MASK = (1 << 42) - 1  # sums of up to two million of these fit into a long
 

@@ -83,8 +83,11 @@ def write_shards(
         scattered = scattered.join(cells.drop("n"), "b").select("b", second, "h", "r")
     else:
         scattered = scattered.select("b", first, "h", "r")
-    gathered = scattered.repartition(max(1, min(many, MOST_PARTITIONS)), "b", "sub").groupBy("b", "sub").agg(F.array_sort(F.collect_list(F.struct("h", "r"))).alias("rs"))
-    placed = gathered.join(_offsets(held), ["b", "sub"]).sortWithinPartitions("b", "sub")
+    # a bucket's offset travels with its records, which saves a join
+    rows = scattered.select("b", "sub", F.struct("h", "r").alias("x"), F.lit(None).cast("long").alias("off"))
+    rows = rows.unionByName(_offsets(held).select("b", "sub", F.lit(None).cast(rows.schema["x"].dataType).alias("x"), "off"))
+    gathered = rows.repartition(max(1, min(many, MOST_PARTITIONS)), "b", "sub").groupBy("b", "sub").agg(F.max("off").alias("off"), F.array_sort(F.collect_list("x")).alias("rs"))
+    placed = gathered.sortWithinPartitions("b", "sub")
     mixed = placed.select("off", F.shuffle("rs", seed).alias("rs"))
     rows = mixed.select("off", F.posexplode("rs").alias("k", "x"))
     shard, slot = _dealt(F.col("off") + F.col("k"), total, shards)
