@@ -18,7 +18,7 @@ import hashlib
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import load, written
+
 # Fixed values of the format: zigzag order (natural index of the k-th coefficient).
 ZIGZAG = np.array(sorted(range(64), key=lambda p: (p // 8 + p % 8, p % 8 if (p // 8 + p % 8) % 2 == 0 else p // 8)))
 RUN_BLOCKS = 16384  # blocks in one end-of-band run; a multiple of 8 keeps runs byte-aligned
@@ -441,8 +443,7 @@ def decode(data: bytes) -> Image:
     return Decoder(data).run()
 
 
-COLUMNS = {
-    "n_bytes": "long",
+DECODED = {
     "media": "binary",
     "height": "int",
     "width": "int",
@@ -455,29 +456,57 @@ COLUMNS = {
     "media_sha256": "string",
     "feature": "string",
 }
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+HELD = 8 << 20  # bytes of results that a worker gathers before it passes them on
+
 
+def _rows(batches: Iterator[pa.RecordBatch], made_of: Callable[..., tuple], kinds: dict[str, str]) -> Iterator[pa.RecordBatch]:
+    """The first column of each batch and the values that ``made_of`` gives for the others, in parts of bounded size."""
+    for b in batches:
+        begin, held, made = 0, 0, []
+        for at in range(b.num_rows):
+            made.append(made_of(*(c[at].as_py() for c in b.columns[1:])))
+            held += sum(len(x) for x in made[-1] if isinstance(x, bytes))
+            if held >= HELD or len(made) == 1024 or at + 1 == b.num_rows:
+                cols = [pa.array([m[i] for m in made], _ARROW[k]) for i, k in enumerate(kinds.values())]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(begin, len(made)), *cols], names=["id", *kinds])
+                begin, held, made = at + 1, 0, []
 
-def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = ("n_bytes", "media", "height", "width", "rgb")) -> DataFrame:
-    """The id of each row and the asked ones of COLUMNS: the text stored as a progressive JPEG and read back.
 
-    ``rgb`` is the full-resolution tensor (height x width x 3, row-major bytes) of the stored bytes;
-    ``feature`` is the image's size and its rounded mean of each channel.  A null text is stored as
-    an empty one; equal texts give equal values; other columns of ``docs`` are not read.  The whole
+def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_bytes, media) for every row: the text's length in bytes and the text as a progressive JPEG.
+
+    A null text is stored as an empty one; equal texts give equal media; other columns are not read.  The whole
     text is stored, up to the format's 65535 x 65535 samples (2.8 GB of text).
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    wants = set(columns)
-    image_for = {"height", "width", "rgb", "payload", "payload_bytes", "payload_sha256", "tail_crc32", "feature"}
-    types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
 
-    def row(text: str | None) -> tuple:
+    def made(text: str | None) -> tuple:
         raw = (text or "").encode("utf-8", "surrogatepass")
-        stored = encode(raw)
-        got: dict[str, object] = {"n_bytes": len(raw), "media": stored, "media_bytes": len(stored)}
+        return len(raw), encode(raw)
+
+    kinds = {"n_bytes": "long", "media": "binary"}
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(lambda batches: _rows(batches, made, kinds), f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
+
+
+def decode_media(stored: DataFrame, columns: tuple[str, ...] = ("height", "width", "rgb"), id_col: str = "doc_id") -> DataFrame:
+    """The id of each row of a table of media and the asked ones of DECODED.
+
+    ``rgb`` is the full-resolution tensor (height x width x 3, row-major bytes) of the stored bytes; ``feature``
+    is the image's size and its rounded mean of each channel.  Null media give nulls.
+    """
+    kind = stored.schema[id_col].dataType.simpleString()
+    wants = set(columns)
+
+    def made(media: bytes | None) -> tuple:
+        if media is None:
+            return (None,) * len(columns)
+        got: dict[str, object] = {"media": media, "media_bytes": len(media)}
         if "media_sha256" in wants:
-            got["media_sha256"] = hashlib.sha256(stored).hexdigest()
-        if wants & image_for:
-            image = decode(stored)
+            got["media_sha256"] = hashlib.sha256(media).hexdigest()
+        if wants - {"media", "media_bytes", "media_sha256"}:
+            image = decode(media)
             got |= {"height": image.height, "width": image.width}
             if wants & {"payload", "payload_bytes", "payload_sha256", "tail_crc32"}:
                 back = payload(image)
@@ -489,21 +518,19 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 got["feature"] = f"{image.width}x{image.height}:" + ",".join(str(round(float(m))) for m in mean)
         return tuple(got[c] for c in columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 256):  # a tensor is larger than its text
-                part = b.slice(at, 256)
-                made = [row(t) for t in part.column(1).to_pylist()]
-                cols = [pa.array([m[i] for m in made], types[COLUMNS[c]]) for i, c in enumerate(columns)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *cols], names=["id", *columns])
-
-    schema = f"id {kind}, " + ", ".join(f"{c} {COLUMNS[c]}" for c in columns)
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
-    return out.withColumnRenamed("id", id_col)
+    kinds = {c: DECODED[c] for c in columns}
+    schema = f"id {kind}, " + ", ".join(f"{c} {k}" for c, k in kinds.items())
+    rows = stored.select(F.col(id_col).alias("id"), "media")
+    return rows.mapInArrow(lambda batches: _rows(batches, made, kinds), schema).withColumnRenamed("id", id_col)
 
 
 def op2_progressive_jpeg(spark, sf_dir: str) -> DataFrame:
-    from .common import load
+    """Every text of ``documents`` as a stored JPEG: media are written to the shared folder, read back and decoded.
 
-    digest = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
-    return media_columns(load(spark, sf_dir, "documents"), columns=digest)
+    The digest columns and ``rgb``, the full-resolution tensor, come from the bytes read back.  A null text is an
+    empty one; equal texts have equal values.
+    """
+    stored = written(encode_media(load(spark, sf_dir, "documents")), "media")
+    digest = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "height", "width", "rgb")
+    out = decode_media(stored.select(F.struct("doc_id", "n_bytes").alias("id"), "media"), digest, "id")
+    return out.select("id.doc_id", "id.n_bytes", *digest)

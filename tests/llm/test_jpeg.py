@@ -159,13 +159,52 @@ def test_ordinary_progressive_stream():
     assert abs(jpeg.samples(image, c)[3, 5] - want) < 1e-2
 
 
-def test_columns(spark):
+def test_columns(spark, tmp_path):
     rows = [(1, "héllo", "x"), (2, None, "y"), (3, "", None), (4, "héllo", "z"), (None, "a" * 5000, "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string, media string")
-    got = {r["doc_id"]: r for r in jpeg.media_columns(df, columns=("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media", "media_sha256", "feature", "rgb", "height", "width")).collect()}
+    stored = jpeg.encode_media(df)
+    stored.write.parquet(str(tmp_path / "media"))
+    stored = spark.read.parquet(str(tmp_path / "media"))
+    sizes = {r["doc_id"]: r["n_bytes"] for r in stored.collect()}
+    asked = ("payload_bytes", "payload_sha256", "tail_crc32", "media", "media_sha256", "feature", "rgb", "height", "width")
+    decoded = jpeg.decode_media(stored, asked)
+    decoded.write.parquet(str(tmp_path / "rgb"))
+    got = {r["doc_id"]: r for r in spark.read.parquet(str(tmp_path / "rgb")).collect()}
     pay = "héllo".encode().ljust(64, b"\0")
-    assert (got[1]["n_bytes"], got[1]["payload_bytes"], got[1]["payload_sha256"], got[1]["tail_crc32"]) == (6, 64, hashlib.sha256(pay).hexdigest(), zlib.crc32(pay))
+    assert (sizes[1], got[1]["payload_bytes"], got[1]["payload_sha256"], got[1]["tail_crc32"]) == (6, 64, hashlib.sha256(pay).hexdigest(), zlib.crc32(pay))
     assert got[1]["media_sha256"] == got[4]["media_sha256"] == hashlib.sha256(bytes(got[1]["media"])).hexdigest() and got[1]["feature"] == got[4]["feature"]
-    assert got[2]["payload_sha256"] == got[3]["payload_sha256"] and got[2]["n_bytes"] == 0
-    assert len(got[None]["rgb"]) == got[None]["height"] * got[None]["width"] * 3
-    assert jpeg.media_columns(df.limit(0)).count() == 0
+    assert got[2]["payload_sha256"] == got[3]["payload_sha256"] and sizes[2] == 0
+    for r in got.values():
+        assert bytes(r["rgb"]) == jpeg.rgb(jpeg.decode(bytes(r["media"]))).tobytes() and len(r["rgb"]) == r["height"] * r["width"] * 3
+    assert jpeg.decode_media(jpeg.encode_media(df.limit(0))).count() == 0
+    assert jpeg.decode_media(spark.createDataFrame([(1, None)], "doc_id long, media binary")).first()["rgb"] is None
+
+
+def test_results_are_passed_on_in_bounded_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(jpeg, "HELD", 3000)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(["x" * 1000 * (i % 3) for i in range(9)])], names=["id", "text"])
+    parts = list(jpeg._rows([batch], lambda t: (t.encode(),), {"b": "binary"}))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(9)) and [len(b) for p in parts for b in p.column(1).to_pylist()] == [1000 * (i % 3) for i in range(9)]
+    assert len(parts) == 3
+
+
+def test_query_stores_and_reads_back(spark, monkeypatch):
+    import os
+
+    import pytest
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables")
+    made = []
+    keep = jpeg.written
+    monkeypatch.setattr(jpeg, "written", lambda df, name: made.append(keep(df, name)) or made[-1])
+    rows = {r["doc_id"]: r for r in jpeg.op2_progressive_jpeg(spark, "/root/testdata/sf0.001").collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    media = {r["doc_id"]: bytes(r["media"]) for r in made[0].collect()}  # the stored table
+    assert set(rows) == set(texts) == set(media)
+    for i, r in rows.items():
+        raw = texts[i].encode()
+        assert (r["n_bytes"], r["payload_sha256"]) == (len(raw), hashlib.sha256(jpeg.padded(raw)).hexdigest())
+        assert r["media_sha256"] == hashlib.sha256(media[i]).hexdigest() and len(r["rgb"]) == 3 * r["height"] * r["width"]
