@@ -3,8 +3,9 @@
 Two views of a document: its text's content (hashed byte pairs and the
 repetition of words) and its page metadata (source,
 declared language, lengths and line layout).  Each view has a logistic classifier.  In every round
-both score all unlabelled documents, and each hands its most confident ones, with their predicted
-labels, to the other's training set.  In the end both are calibrated on labelled rows that took no
+both score all documents of the pool, and each hands its most confident ones, with their predicted
+labels, to the other's training set; what was handed over leaves the pool, and a document on which the
+views disagree is not handed over.  In the end both are calibrated on labelled rows that took no
 part in training, and their calibrated log-odds are combined.
 
 Bounds, which are parameters: LABELLED rows of labels are fitted (chosen by a hash), and each view
@@ -15,11 +16,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,6 +129,7 @@ class Model:
     content: View
     meta: View
     prior: float  # log-odds of the good class among the labelled
+    rounds: list[list[tuple]] = field(default_factory=list)  # (view, label, id) of what was handed over in each round
 
     def scores(self, content: list[bytes], meta: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probability of either view and of both; the shared prior counts once."""
@@ -135,32 +138,51 @@ class Model:
         return sig(c), sig(m), sig(c + m - self.prior)
 
 
-def _confident(table: DataFrame, labelled: DataFrame, views: tuple[View, View], handed: int) -> list[tuple]:
-    """(view, label, content, meta) of the documents that a view is surest of, ``handed`` of each at most."""
+def _confident(pool: DataFrame, views: tuple[View, View], handed: int) -> list[tuple]:
+    """(view, label, id, content, meta) of the documents that a view is surest of, ``handed`` of each class at most.
+
+    One scan: a task keeps the best of its rows, which are written; the best of those are taken.  Equally sure ones
+    go by a hash of their features, then by id.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[int, int], list[tuple]] = {(k, label): [] for k in (0, 1) for label in (1, 0)}
         for b in batches:
-            cells = [b.column(i).to_pylist() for i in (1, 2)]
+            ids, *cells = (b.column(i).to_pylist() for i in range(3))
             for k, view in enumerate(views):
                 p = 1 / (1 + np.exp(-view.odds(cells[k])))
                 for label, sure in ((1, p), (0, 1 - p)):
-                    top = np.argsort(-sure, kind="stable")[:handed]
-                    top = top[sure[top] >= CONFIDENT]
-                    n = len(top)
-                    picked = [b.column(i).take(pa.array(top)) for i in range(3)]
-                    yield pa.RecordBatch.from_arrays([pa.array([k] * n, pa.int32()), pa.array([label] * n, pa.int32()), pa.array(sure[top], pa.float64()), *picked], names=["view", "label", "sure", "id", "content", "meta"])
-
-    kind = table.schema["id"].dataType.simpleString()
-    free = table.join(F.broadcast(labelled), "id", "left_anti")  # at most LABELLED ids
-    best = free.mapInArrow(run, f"view int, label int, sure double, id {kind}, content binary, meta binary")
+                    kept = best[k, label]
+                    least = -kept[-1][0] if len(kept) == handed else CONFIDENT
+                    for i in np.flatnonzero(sure >= least).tolist():
+                        kept.append((-float(sure[i]), xxhash.xxh64_intdigest(cells[0][i] + cells[1][i]) >> 1, ids[i], cells[0][i], cells[1][i]))
+                    kept.sort(key=lambda r: r[:3])
+                    del kept[handed:]
+        rows = [(k, label, *r) for (k, label), kept in best.items() for r in kept]
+        if rows:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.float64(), pa.int64(), None, pa.binary(), pa.binary()), strict=True)]
+            columns[4] = columns[4].cast(b.schema.field(0).type)
+            yield pa.RecordBatch.from_arrays(columns, names=["view", "label", "cost", "tie", "id", "content", "meta"])
+
+    kind = pool.schema["id"].dataType.simpleString()
+    best = cut(pool.mapInArrow(run, f"view int, label int, cost double, tie long, id {kind}, content binary, meta binary"))
     out = []
     for k in (0, 1):
         for label in (0, 1):
             rows = best.where((F.col("view") == k) & (F.col("label") == label))
-            out += [(k, label, bytes(r["content"]), bytes(r["meta"])) for r in rows.orderBy(F.desc("sure"), F.xxhash64("content", "meta")).limit(handed).collect()]
+            out += [(k, label, r["id"], bytes(r["content"]), bytes(r["meta"])) for r in rows.orderBy("cost", "tie", "id").limit(handed).collect()]
     return out
 
 
+def agreed(found: list[tuple]) -> list[tuple]:
+    """What is handed over: each document once from a view, and none on which the views disagree; those stay in the pool."""
+    labels: dict = {}
+    for _, label, i, *_ in found:
+        labels.setdefault(i, set()).add(label)
+    first = {(f[0], f[2]): f for f in reversed(found)}
+    return [f for f in found if len(labels[f[2]]) == 1 and first[f[0], f[2]] is f]
+
+
 def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", limit: int = LABELLED, rounds: int = ROUNDS, handed: int = HANDED) -> Model:
     """A model from the feature table and the labels.  Labels of one class or none give a constant model."""
     good = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -179,14 +201,20 @@ def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", id_co
     cells = [[bytes(r["content"]) for r in rows], [bytes(r["meta"]) for r in rows]]
     sets = [[matrix(cells[k], d)[~held], y[~held]] for k, d in enumerate((TEXT_DIMS, META_DIMS))]
     views = tuple(View(d, fit(*s)) for s, d in zip(sets, (TEXT_DIMS, META_DIMS), strict=True))
+    history: list[list[tuple]] = []
+    kind = table.schema["id"].dataType.simpleString()
+    gone = chosen.select("id")  # at most ``limit`` ids, and what the rounds hand over
     for _ in range(rounds):
-        found = _confident(table, chosen.select("id"), views, handed)
+        pool = table.where("id is not null").join(F.broadcast(gone), "id", "left_anti")
+        found = agreed(_confident(pool, views, handed))
         if not found:
             break
+        history.append([f[:3] for f in found])
+        gone = gone.unionByName(table.sparkSession.createDataFrame([(i,) for i in {f[2] for f in found}], f"id {kind}"))
         for k, d in enumerate((TEXT_DIMS, META_DIMS)):
             mine = [f for f in found if f[0] != k]  # from the other view
             if mine:
-                sets[k][0] = np.vstack([sets[k][0], matrix([f[2 + k] for f in mine], d)])
+                sets[k][0] = np.vstack([sets[k][0], matrix([f[3 + k] for f in mine], d)])
                 sets[k][1] = np.concatenate([sets[k][1], [f[1] for f in mine]])
         views = tuple(View(d, fit(*s)) for s, d in zip(sets, (TEXT_DIMS, META_DIMS), strict=True))
     for k, view in enumerate(views):
@@ -195,7 +223,7 @@ def train(table: DataFrame, labels: DataFrame, label_col: str = "quality", id_co
             raw = view.raw(part)
             a, b = fit(np.stack([raw, np.ones(len(raw))], 1), y[held], penalty=1e-3)
             view.a, view.b = (float(a), float(b)) if a > 0 else (0.0, prior)
-    return Model(*views, prior)
+    return Model(*views, prior, history)
 
 
 def score(table: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -222,4 +250,5 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def op1_cotraining_quality(spark, sf_dir: str) -> DataFrame:
+    """Quality scores of every row of ``documents`` from the ``quality`` labels; nulls, ties and repeated rows as in classify()."""
     return classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))

@@ -273,11 +273,78 @@ def test_quality_on_labels_it_has_not_seen(spark):
     assert sum(r["keep"] for r in clean) >= 0.97 * len(clean)
 
 
+def plain_cotraining(docs, labels, rounds, handed):
+    """Scores by id: the method in plain loops over lists; docs are (id, text, source, lang, n_chars)."""
+    import xxhash
+
+    view = {d[0]: (quality.text_view((d[1] or "").encode()).tobytes(), quality.meta_view(d[2], d[3], d[4], d[1] or "").tobytes()) for d in docs}
+    dims = (quality.TEXT_DIMS, quality.META_DIMS)
+    spark_hash = labels["order"]
+    known = [i for i in spark_hash if i in view]
+    y = np.array([labels["y"][i] for i in known], float)
+    held = [k % 5 == 4 for k in range(len(known))]
+    sets = [[(view[i][k], t) for i, t, h in zip(known, y, held, strict=True) if not h] for k in (0, 1)]
+    learn = lambda k: quality.fit(quality.matrix([c for c, _ in sets[k]], dims[k]), np.array([t for _, t in sets[k]], float))
+    odds = lambda w, k, i: float(np.clip(quality.matrix([view[i][k]], dims[k]) @ w, -30, 30)[0])
+    ws, pool, history = [learn(0), learn(1)], {i for i in view if i is not None} - set(labels["y"]), []
+    for _ in range(rounds):
+        found = []
+        for k in (0, 1):
+            p = {i: 1 / (1 + np.exp(-odds(ws[k], k, i))) for i in pool}
+            for label in (1, 0):
+                sure = {i: (q if label else 1 - q) for i, q in p.items()}
+                order = sorted((i for i in pool if sure[i] >= quality.CONFIDENT), key=lambda i: (-sure[i], xxhash.xxh64_intdigest(view[i][0] + view[i][1]) >> 1, i))
+                found += [(k, label, i) for i in order[:handed]]
+        found = [f for f in found if len({g[1] for g in found if g[2] == f[2]}) == 1]
+        if not found:
+            break
+        history.append(found)
+        pool -= {f[2] for f in found}
+        for k, label, i in found:
+            sets[1 - k].append((view[i][1 - k], label))
+        ws = [learn(0), learn(1)]
+    prior = np.log((y.sum() + 1) / (len(y) + 2) / (1 - (y.sum() + 1) / (len(y) + 2)))
+    scale = []
+    for k in (0, 1):
+        raw = np.array([odds(ws[k], k, i) for i, h in zip(known, held, strict=True) if h])
+        a, b = quality.fit(np.stack([raw, np.ones(len(raw))], 1), y[held], penalty=1e-3)
+        scale.append((a, b) if a > 0 else (0.0, prior))
+    both = {i: sum(scale[k][0] * odds(ws[k], k, i) + scale[k][1] for k in (0, 1)) - prior for i in view}
+    return {i: 1 / (1 + np.exp(-z)) for i, z in both.items()}, history
+
+
+def test_quality_against_plain_loops(spark):
+    rng = random.Random(8)
+    docs = []
+    for i in range(240):
+        good = rng.random() < 0.6
+        words = [rng.choice(["river", "stone", "house", "green", "walk", "light"] if good or rng.random() < 0.2 else ["buy", "now", "free", "free", "click", "win"]) for _ in range(rng.randint(4, 40))]
+        docs.append((i, " ".join(words) if i % 30 else None, rng.choice(["press", "books"] if good or rng.random() < 0.3 else ["spam", "ads"]), "en", None if i % 7 == 0 else 6 * len(words), good))
+    df = spark.createDataFrame([d[:5] for d in docs], "doc_id long, text string, source string, lang string, n_chars long")
+    y = {d[0]: int(d[5]) for d in docs if d[0] % 3 == 0}
+    labels = spark.createDataFrame(list(y.items()), "doc_id long, quality int")
+    order = [r["doc_id"] for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    table = quality.features(df)
+    model = quality.train(table, labels, rounds=3, handed=9)
+    want, history = plain_cotraining([d[:5] for d in docs], {"y": y, "order": order}, 3, 9)
+    assert [sorted(r) for r in model.rounds] == [sorted(r) for r in history] and len(history) > 1
+    ids = [{f[2] for f in r} for r in model.rounds]
+    assert all(not a & b for k, a in enumerate(ids) for b in ids[:k]) and not set().union(*ids) & set(y)  # nothing is handed over twice
+    got = {r["id"]: r["score"] for r in quality.score(table, model).collect()}
+    assert all(abs(got[i] - want[i]) < 1e-3 for i in want)
+
+
+def test_views_that_disagree_hand_nothing_over():
+    found = [(0, 1, 5, b"", b""), (1, 0, 5, b"", b""), (0, 1, 6, b"", b""), (1, 1, 6, b"", b""), (0, 1, 6, b"x", b"")]
+    assert quality.agreed(found) == found[2:4]
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, "good text", "s", 3), (2, None, None, 3), (None, "", "s", 3), (1, "good text", "s", 3)], "doc_id long, text string, source string, score int")
-    for labels in ([], [(1, 1)], [(1, 1), (1, 0)], [(None, 1), (2, None)]):
+    docs = docs.unionByName(spark.createDataFrame([(3, "long " * 100_000, "s", 3)], docs.schema))
+    for labels in ([], [(1, 1)], [(1, 1), (1, 0)], [(None, 1), (2, None)], [(1, 1), (2, 0), (3, 1)]):
         got = quality.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
-        assert len(got) == 4 and all(0 <= r["score"] <= 1 for r in got)
+        assert len(got) == 5 and all(0 <= r["score"] <= 1 for r in got) and len({r["score"] for r in got if r["doc_id"] == 1}) == 1
     assert quality.classify(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int")).count() == 0
 
 
