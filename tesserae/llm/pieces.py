@@ -34,6 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # read by the driver only
 NBEST = 2
 CACHE = 150_000  # parts in each of the two generations that a task keeps (about 50 MB each)
 LONGEST = 48  # characters of a part that is kept
+WIDTHS = (4, 6, 7, 8, 9, 10, 11, 12, 14, 16, 20, 28)  # parts of similar length share arrays
 BYTE_PENALTY = 10.0
 LITERAL = (SPACE,)  # the part that stands for a space mark in the text itself; no string equals it
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -190,11 +191,11 @@ class Segmenter:
                 push(heap, (-(g + best[start]), start, made, g, (ids_, path)))
         return out
 
-    def search_all(self, parts: list[str], n: int) -> list[tuple[tuple[float, bytes], ...]]:
-        """search() of many parts of LONGEST characters at most: the same A*, a step of all parts at a time in arrays.  Ids are packed."""
+    def search_all(self, parts: list[str], n: int) -> list[tuple]:
+        """The entries (see entry()) of many parts of LONGEST characters at most: search(), a step of all parts at a time in arrays."""
         out: list = [()] * len(parts)
         lengths = np.array([len(p) for p in parts])
-        for low, high in ((0, 6), (7, 9), (10, 12), (13, 16), (17, 24), (25, LONGEST)):
+        for low, high in zip((0, *(w + 1 for w in WIDTHS)), (*WIDTHS, LONGEST), strict=True):
             where = np.flatnonzero((lengths >= low) & (lengths <= high))
             rows = 98_304 // high
             for lo in range(0, len(where), rows):
@@ -287,8 +288,10 @@ class Segmenter:
         spelled = [raw[k * size : k * size + 4 * c] for k, c in enumerate(counts.tolist())]
         for k in np.flatnonzero((seqs >= len(self.pieces)).any(axis=1)).tolist():
             spelled[k] = self._spelled(own[k // n], seqs[k, : counts[k]].tolist())
-        scores = totals.reshape(-1).tolist()
-        return [tuple(zip(scores[k : k + c], spelled[k : k + c], strict=True)) for k, c in zip(range(0, m * n, n), found.tolist(), strict=True)]
+        losses = totals[:, :1] - totals
+        gaps = np.where(found > 1, losses[:, 1], np.inf) if n > 1 else np.full(m, np.inf)
+        rests = [tuple(zip(loss[1:c], spelled[k + 1 : k + c], strict=True)) for k, c, loss in zip(range(0, m * n, n), found.tolist(), losses.tolist(), strict=True)]
+        return list(zip(totals[:, 0].tolist(), spelled[::n], gaps.tolist(), rests, strict=True))
 
     def _spelled(self, part: str, arcs: list[int]) -> bytes:
         """The ids of a path with characters that are sent as bytes."""
@@ -316,20 +319,20 @@ class Segmenter:
             kept[p] = before[p]
             new.discard(p)
         new = [p for p in new if p is not LITERAL and len(p) <= LONGEST]
-        for p, found in zip(new, self.search_all(new, self.nbest), strict=True):
-            kept[p] = self._entry(found)
+        kept.update(zip(new, self.search_all(new, self.nbest), strict=True))
 
     @staticmethod
-    def _entry(found: tuple) -> tuple:
-        """What is kept of a part: the best score and ids, what the next best loses, and all that was found."""
-        return found[0][0], found[0][1], found[0][0] - found[1][0] if len(found) > 1 else float("inf"), found
+    def entry(found: list[tuple]) -> tuple:
+        """What is kept of a part: its best score and packed ids, what the next best loses, and the next ones' losses and ids."""
+        (score, ids), *rest = ((s, packed(i)) for s, i in found)
+        return score, ids, score - rest[0][0] if rest else float("inf"), tuple((score - s, i) for s, i in rest)
 
     def part(self, part: str | tuple) -> tuple:
         """The entry of one part; kept for later texts."""
         got = self.before.get(part)
         if got is None:
             found = [self._fallback(SPACE)] if part is LITERAL else self.search(part, self.nbest)
-            got = self._entry(tuple((score, packed(ids)) for score, ids in found))
+            got = self.entry(found)
         if len(part) <= LONGEST:
             if len(self.kept) >= CACHE:
                 self.before, self.kept = self.kept, {}
@@ -368,8 +371,7 @@ class Segmenter:
         gaps = list(map(itemgetter(2), got))
         least = [gaps.index(min(gaps))] if self.nbest == 2 else heapq.nsmallest(self.nbest - 1, range(len(gaps)), gaps.__getitem__)
         for k in least:
-            first, *rest = got[k][3]
-            grown = [(loss + first[0] - s, (*changes, (k, own))) for loss, changes in sums for s, own in rest]
+            grown = [(loss + less, (*changes, (k, own))) for loss, changes in sums for less, own in got[k][3]]
             sums = heapq.nsmallest(self.nbest, sums + grown, key=itemgetter(0))
         out = [(total, np.frombuffer(raw, np.int32))]
         for loss, changes in sums[1:]:
@@ -378,9 +380,14 @@ class Segmenter:
                 begin = sum(map(len, spelled[:k]))
                 made += [raw[at:begin], own]
                 at = begin + len(spelled[k])
+                if self.bytes_of(own) != self.bytes_of(spelled[k]):
+                    raise ValueError("segmentations of a part differ in what they spell")
             out.append((total - loss, np.frombuffer(b"".join([*made, raw[at:]]), np.int32)))
         return out
 
+    def bytes_of(self, ids: bytes) -> bytes:
+        return b"".join(map(self.raw.__getitem__, np.frombuffer(ids, np.int32).tolist()))
+
     def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text; exact for what encode() gives where the model has byte pieces."""
         ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
@@ -403,7 +410,8 @@ def encode_documents(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
     """(id, ids array<int>, n_pieces, scores array<double>, others array<array<int>>, round_trip) for every row.
 
     ``scores`` are those of the N best segmentations of the whole text, fewer if it has fewer; ``ids`` is the best
-    one and ``others`` holds the next ones.  ``round_trip`` tells whether decoding gives the text back from each.
+    one and ``others`` holds the next ones.  ``round_trip`` tells whether decoding ``ids`` gives the text back; where the others
+    differ from them they spell the same, or an error is raised.
     An empty text is the space mark alone; a null text has no pieces, no scores and a null round_trip.  Ties go
     to one of the equals.  Other columns are not read.
     """
@@ -424,7 +432,7 @@ def encode_documents(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
             scores.append([x for x, _ in found])
             more += [ids for _, ids in found[1:]]
             many.append(len(found) - 1)
-            trips.append(all(own.decode(ids) == text for _, ids in found))
+            trips.append(own.decode(found[0][1]) == text)
         places = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
         lists = lambda arrays, sizes: pa.ListArray.from_arrays(places(sizes), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32)))
         others = pa.ListArray.from_arrays(places(many), lists(more, [len(x) for x in more]))
