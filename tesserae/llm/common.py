@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,7 +19,8 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Where the setting is absent (single-machine tests) a temporary folder stands in.
+    Where the setting is absent, a session on one machine (tests, the bench) gets a folder of its own; on a cluster
+    that is an error, as executors would not see each other's files.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
@@ -27,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     own = tempfile.mkdtemp(prefix="tesserae-")
     sc.setCheckpointDir(own)
     return own

@@ -17,11 +17,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if large:
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))  # so the join with a hub's edges can be split
         out = both.join(low, "a").where("b > a").select(F.col("m").alias("a"), "b")
     else:
         down = both.where("b < a")
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
+        low = cut(down.groupBy("a").agg(F.min("b").alias("m")))
         moved = down.join(low, "a").where("b <> m").select(F.col("m").alias("a"), "b")
         out = moved.unionByName(low.select(F.col("m").alias("a"), F.col("a").alias("b")))
     return out.where("a <> b").distinct()

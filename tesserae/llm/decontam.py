@@ -8,6 +8,7 @@ and Myers' bit-parallel distance verifies them, first around the piece, then aro
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -17,8 +18,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 RATE = 0.1  # edits allowed for each character of an item
-MAX_ITEMS = 1_000_000  # an automaton of more pieces does not belong into a worker's memory; see leaks()
-MAX_CHARS = 200_000_000
+BLOCK = 1_000_000  # characters of the items in one automaton (some 100,000 pieces and 150 MB in a worker)
 
 
 def normal(text: str | None) -> str:
@@ -53,6 +53,31 @@ def myers(pattern: str, masks: dict[str, int], text: str, budget: int) -> tuple[
     return best if best[0] <= budget else None
 
 
+def begin(pattern: str, text: str, distance: int) -> int:
+    """The place in ``text`` where an occurrence that ends with it and has this distance begins; of several the one nearest in length."""
+    back, m = text[::-1], len(pattern)
+    masks: dict[str, int] = {}
+    for p, c in enumerate(reversed(pattern)):
+        masks[c] = masks.get(c, 0) | 1 << p
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    pv, mv, score = full, 0, m
+    best = (m, 0) if m == distance else (m + distance + 1, 0)  # (how far the length is from the item's, length)
+    for j, c in enumerate(back[: m + distance], 1):
+        eq = masks.get(c, 0)
+        xv = eq | mv
+        xh = (((eq & pv) + pv) ^ pv) | eq
+        ph = mv | (full & ~(xh | pv))
+        mh = pv & xh
+        score += bool(ph & top) - bool(mh & top)
+        if score == distance:
+            best = min(best, (abs(j - m), j))
+        ph = ph << 1 & full | 1  # the occurrence is held at its end
+        mh = mh << 1 & full
+        pv = mh | (full & ~(xv | ph))
+        mv = ph & xv
+    return len(text) - best[1]
+
+
 class Node:
     """A stretch of an item with its share of the error budget; leaves have none and are the pieces.
 
@@ -61,13 +86,20 @@ class Node:
     piece is dismissed by its small parent already.
     """
 
-    __slots__ = ("item", "lo", "hi", "budget", "parent", "text", "masks")
+    __slots__ = ("item", "lo", "hi", "budget", "parent", "text", "_masks")
 
     def __init__(self, item: int, text: str, lo: int, hi: int, budget: int, parent: Node | None):
         self.item, self.lo, self.hi, self.budget, self.parent, self.text = item, lo, hi, budget, parent, text[lo:hi]
-        self.masks: dict[str, int] = {}
-        for p, c in enumerate(self.text):
-            self.masks[c] = self.masks.get(c, 0) | 1 << p
+        self._masks: dict[str, int] | None = None
+
+    @property
+    def masks(self) -> dict[str, int]:
+        """The characters' bit masks, made when they are first needed: most stretches are never verified."""
+        if self._masks is None:
+            self._masks = {}
+            for p, c in enumerate(self.text):
+                self._masks[c] = self._masks.get(c, 0) | 1 << p
+        return self._masks
 
 
 def pieces(item: int, text: str, budget: int) -> list[Node]:
@@ -101,7 +133,7 @@ class Matcher:
             self.auto.make_automaton()
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item id, distance, start of the window, end) of the best occurrence of each item, the earliest of equals."""
+        """(item id, distance, start, end) of the best occurrence of each item, of equals the one that ends first."""
         if not self.items:
             return []
         body, best, seen = normal(text), {}, set()
@@ -115,7 +147,7 @@ class Matcher:
                     if got is None:
                         break
                     if node.parent is None:
-                        best[node.item] = min(best.get(node.item, (e + 1,)), (got[0], lo, lo + got[1]))
+                        best[node.item] = min(best.get(node.item, (e + 1,)), (got[0], lo + got[1]))
                         break
                     node = node.parent
                     if node.parent is None:  # the whole is verified once for each diagonal
@@ -123,31 +155,37 @@ class Matcher:
                             break
                         seen.add((node.item, shift))
                 if leaf.parent is None:
-                    best[leaf.item] = min(best.get(leaf.item, (1,)), (0, shift, end + 1))
-        return [(self.items[k][0], *hit) for k, hit in sorted(best.items())]
+                    best[leaf.item] = min(best.get(leaf.item, (1,)), (0, end + 1))
+        out = []
+        for k, (distance, end) in sorted(best.items()):
+            name, pattern = self.items[k]
+            lo = max(0, end - len(pattern) - distance)
+            out.append((name, distance, lo + begin(pattern, body[lo:end], distance), end))
+        return out
 
 
-def _items(items: DataFrame, item_col: str, text_col: str) -> list[tuple[int, str]]:
-    chars = F.coalesce(F.sum(F.length(text_col)), F.lit(0))
-    n, size = items.agg(F.count("*"), chars).first()
-    if n > MAX_ITEMS or size > MAX_CHARS:
-        raise ValueError("the test set exceeds the bound for one automaton: call leaks() on parts of it and union the results")
-    rows = items.select(F.col(item_col), F.col(text_col)).collect()  # checked above
-    return sorted((r[0], normal(r[1])) for r in rows if r[0] is not None and r[1] is not None)
+def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of about BLOCK characters, one after the other; each block alone reaches the driver."""
+    rows = items.select(F.col(item_col), F.col(text_col)).toDF("item", "text").where("item is not null and text is not null")
+    size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    n = max(1, -(-size // BLOCK))
+    for k in range(n):
+        some = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
+        yield sorted((r[0], normal(r[1])) for r in some.collect())
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = RATE) -> DataFrame:
     """(id, item, distance, start, end): each test item that occurs in a document within its budget, once.
 
     Both texts are lower-cased and their white space collapsed; places count code points of that
-    form, ``start`` being that of the verified window.  The budget is ``rate`` of the item's length.  A document may have several items.  Items
+    form, ``end`` exclusive.  The budget is ``rate`` of the item's length.  A document may have several items.  Items
     that are null or blank never match, nor do null or empty documents; repeated rows give repeated
-    results.  Whole texts are searched.
+    results.  Whole texts are searched.  A test set of more than BLOCK characters is taken in blocks, each with a scan
+    of the documents.
     """
     kind, ikind = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
-    known = _items(items, item_col, item_text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(known: list[tuple[int, str]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(known, rate)
         for b in slices(batches):
             ids, rows = b.column(0), []
@@ -161,11 +199,13 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
             )
 
     schema_item = pa.int64() if ikind == "bigint" else pa.int32() if ikind == "int" else pa.string()
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, item {ikind}, distance int, start int, end int")
-    return found.withColumnsRenamed({"id": id_col, "item": item_col})
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    parts = [rows.mapInArrow(partial(run, known), f"id {kind}, item {ikind}, distance int, start int, end int") for known in _blocks(items, item_col, item_text)]
+    return reduce(DataFrame.unionByName, parts).withColumnsRenamed({"id": id_col, "item": item_col})
 
 
 def op10_pigeonhole_decontamination(spark, sf_dir: str) -> DataFrame:
+    """The items of ``benchmark`` that occur in texts of ``documents``, with distance and place; nulls and ties as in leaks()."""
     from .common import load
 
     return leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))

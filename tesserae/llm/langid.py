@@ -4,8 +4,11 @@ Each letter has a random +-1 vector.  An n-gram is the product of its letters' v
 permuted (rolled) by its distance from the n-gram's end; a text is the sum over its n-grams, and a
 language is the sum over its training texts.  A document gets the language of highest cosine.
 
-Since binding and bundling are linear in n-gram counts, training gathers counts per language from
-all training rows (at most 64**3 of them a language) and the prototypes follow from those.
+Binding and bundling are linear, so each task bundles its own training rows and the sums over tasks are the
+prototypes: a language costs the driver as many numbers as a vector has dimensions, however many texts it has.
+
+Letters beyond a-z share 37 vectors by a hash of the lower-cased code point; scripts differ in their n-grams all the
+same, but two letters of one script may count as one.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ DIMENSIONS = 1024
 SEED = 20240
 SYMBOLS = 64  # 0: whatever is no letter; 1-26: a-z; the rest by a hash of the lower-cased code point
 CACHE = 40_000  # n-gram vectors that a worker keeps (160 MB at 1024 dimensions)
+HELD = 16  # languages whose counts a training task holds at once (2 MB each)
 UNKNOWN = "und"
 
 
@@ -108,30 +112,42 @@ class Profiles:
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dims: int = DIMENSIONS) -> Profiles:
-    """Profiles from all rows with a language and a text.  Counts are summed in Spark, not in the driver."""
+    """Profiles from all rows with a language and a text.
+
+    A task holds the n-gram counts of HELD languages at most and bundles them when there are more.  The sums are
+    whole numbers, so the result doesn't depend on the order of rows.  The driver and each worker hold one vector a
+    language (8 KB and 4 KB at 1024 dimensions).
+    """
+
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters, total = _letters(dims), {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, n in total.items():
+                ids, v = np.flatnonzero(n), np.zeros(dims)
+                for at in range(0, len(ids), 4096):
+                    v += n[ids[at : at + 4096]].astype(np.float64) @ bind(ids[at : at + 4096], letters)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * dims), pa.array(np.arange(dims)), pa.array(v.astype(np.int64))], names=["lang", "dim", "n"])
+            total.clear()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
         for b in slices(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = ngrams(text)
                 if len(ids):
+                    if lang not in total and len(total) == HELD:
+                        yield from flush()
                     at = total.setdefault(lang, np.zeros(SYMBOLS**3, np.int64))
                     ids, n = np.unique(ids, return_counts=True)
                     at[ids] += n
-        for lang, n in total.items():
-            ids = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(ids)), pa.array(ids), pa.array(n[ids])], names=["lang", "id", "n"])
+        yield from flush()
 
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    sums = rows.mapInArrow(count, "lang string, id long, n long").groupBy("lang", "id").agg(F.sum("n").alias("n"))
-    table = sums.toArrow().to_pandas()  # at most 64**3 rows a language
-    letters, names, vectors = _letters(dims), [], []
+    sums = rows.mapInArrow(bundle, "lang string, dim long, n long").groupBy("lang", "dim").agg(F.sum("n").alias("n"))
+    table = sums.toArrow().to_pandas()  # as many rows a language as dimensions
+    names, vectors = [], []
     for lang, part in sorted(table.groupby("lang"), key=lambda x: x[0]):
         v = np.zeros(dims)
-        ids, n = part["id"].to_numpy(), part["n"].to_numpy(np.float64)
-        for at in range(0, len(ids), 8192):
-            v += n[at : at + 8192] @ bind(ids[at : at + 8192], letters)
+        v[part["dim"].to_numpy()] = part["n"].to_numpy(np.float64)
         names.append(lang)
         vectors.append(v / (np.linalg.norm(v) or 1))
     return Profiles(names, np.array(vectors, np.float32).reshape(len(names), dims), dims)
@@ -160,6 +176,7 @@ def identify(docs: DataFrame, profiles: Profiles, keep: list[str] | None = None,
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:
+    """The language of every row of ``documents``, learned from the rows that are not held out; nulls and ties as in identify()."""
     from .common import load
 
     docs = load(spark, sf_dir, "documents")

@@ -122,8 +122,9 @@ def links(fps: DataFrame, bits: int = 2, dense: int = DENSE, segments: int = 2)
     """
     if bits != 2:
         raise ValueError("the keys serve a bound of two bits")
-    keyed = segment_keys(fps, segments).selectExpr("key", "fp", "slot", "count(*) over (partition by key) as n").where("n > 1")
-    keyed = cut(keyed)
+    keyed = segment_keys(fps, segments)
+    shared = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))  # partial counts, so no task gathers a hot key
+    keyed = cut(keyed.join(shared, "key"))
     few = keyed.where(F.col("n") <= dense)
     a, b = few.select("key", F.col("fp").alias("a"), "slot"), few.select("key", F.col("fp").alias("b"))
     differs = F.expr("slot % 65 = 64 or getbit(a ^ b, if(slot % 65 = 64, 0, slot % 65)) = 1")
@@ -150,6 +151,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op8_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every row of ``documents``; nulls, ties and repeated rows as in near_duplicates()."""
     from .common import load
 
     return near_duplicates(load(spark, sf_dir, "documents"))

@@ -197,7 +197,9 @@ def best_match(item, text):
     return min(row)
 
 
-def test_leaks(spark):
+@pytest.mark.parametrize("block", [200, 1_000_000])
+def test_leaks(spark, monkeypatch, block):
+    monkeypatch.setattr(decontam, "BLOCK", block)
     rng = random.Random(2)
     letters = "abcde "
     rand = lambda n: "".join(rng.choice(letters) for _ in range(n))
@@ -215,15 +217,22 @@ def test_leaks(spark):
     docs += [(100, None), (101, ""), (102, items[0][1])]
     df = spark.createDataFrame([(*d, 5) for d in docs], "doc_id long, text string, item_id int")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r[0], r[1]): r[2] for r in decontam.leaks(df, bench).collect()}
+    docs.append((103, "xx " + items[1][1] + " " * 5 + "y " * 100_000 + items[1][1]))
+    df = df.unionByName(spark.createDataFrame([(*docs[-1], 5)], df.schema))
+    rows = decontam.leaks(df, bench).collect()
+    got = {(r[0], r[1]): r[2] for r in rows}
+    for r in rows:  # the places are those of the occurrence
+        assert distance(dict(items)[r["item_id"]], decontam.normal(dict(docs)[r["doc_id"]])[r["start"] : r["end"]]) == r["distance"]
+    tie = next(r for r in rows if (r["doc_id"], r["item_id"]) == (103, 1))
+    assert (tie["distance"], tie["start"], tie["end"]) == (0, 3, 3 + len(items[1][1]))
     want = {}
     for d, t in docs:
         for i, s in items:
-            if s and s.strip():
+            if s and s.strip() and d != 103:
                 m = best_match(s, decontam.normal(t))
                 if m <= int(len(s) * decontam.RATE):
                     want[d, i] = m
-    assert got == want and any(want.values())
+    assert {k: v for k, v in got.items() if k[0] != 103} == want and any(want.values())
     assert decontam.leaks(df, bench.limit(0)).count() == 0 and decontam.leaks(df.limit(0), bench).count() == 0
 
 

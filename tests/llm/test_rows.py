@@ -133,6 +133,29 @@ def test_language_vectors_follow_their_definition(spark):
     assert langid.train(df.withColumn("lang", F.lit(None).cast("string"))).predict("a b c") == ("und", 0.0)
 
 
+def test_language_against_counts_of_all_ngrams(spark, monkeypatch):
+    """A plain predictor: n-gram counts in dictionaries, vectors bound one by one."""
+    monkeypatch.setattr(langid, "HELD", 2)  # more languages than a task holds
+    rng = random.Random(12)
+    tongues = {f"l{k}": "".join(rng.sample("abcdefghijklmnopqrstuvwxyzäöñéαβγд", 9)) for k in range(5)}
+    rows = [(i, " ".join("".join(rng.choice(tongues[la]) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 9))), la) for i in range(80) for la in [rng.choice(list(tongues))]]
+    rows += [(90, "ab ab", None), (91, "x", "l0"), (92, "x", "l0"), (93, "é " * 50_000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    letters = langid._letters(128)
+
+    def vector(text):
+        return sum((np.prod([np.roll(letters[g >> 6 * k & 63], k) for k in range(3)], axis=0) for g in langid.ngrams(text).tolist()), np.zeros(128))
+
+    profile = {la: sum(vector(t) for _, t, own in rows if own == la) for la in sorted(tongues)}
+    got = {r["doc_id"]: r for r in langid.identify(df, langid.train(df, dims=128)).collect()}
+    for i, t, _ in rows[:-1]:
+        v = vector(t)
+        cos = {la: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for la, p in profile.items()}
+        assert got[i]["lang_pred"] == max(cos, key=cos.get) and abs(got[i]["score"] - max(0, max(cos.values()))) < 1e-5
+    tied = langid.Profiles(["a", "b"], np.stack([letters[1]] * 2) / np.linalg.norm(letters[1]), 128)
+    assert tied.predict("some text")[0] == "a" and got[91]["score"] == got[92]["score"]
+
+
 @needs_tables
 def test_language_accuracy_on_held_out_rows(spark):
     out = langid.op6_language_id(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
@@ -353,6 +376,47 @@ def test_quality_edges(spark):
     assert quality.classify(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int")).count() == 0
 
 
+def test_shared_folder():
+    from types import SimpleNamespace
+
+    from tesserae.llm.common import shared_dir
+
+    conf = lambda found: SimpleNamespace(get=lambda key, default=None: found if key == "spark.checkpoint.dir" else default)
+    none = SimpleNamespace(isDefined=lambda: False)
+    sc = SimpleNamespace(_jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none)), master="spark://host:7077")
+    assert shared_dir(SimpleNamespace(conf=conf("hdfs://x"), sparkContext=sc)) == "hdfs://x"
+    with pytest.raises(RuntimeError):
+        shared_dir(SimpleNamespace(conf=conf(None), sparkContext=sc))
+
+
+@needs_tables
+def test_pipeline_against_plain_versions(spark):
+    """Each stage's rows follow from its operator's own plain version or test; here the stages' decisions and edges."""
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(1, "Hello there world of words\nsecond line is here now", "en", "s", 1), (2, "Hello there world of words\nthird line", None, "s", 2), (2, "Hello there world of words\nthird line", None, "s", 2)]
+    rows += [(None, None, None, None, None), (4, "", "en", "s", 0), (5, "w" * 300_000, "en", "s", 300_000), (6, "42", "en", "s", 2)]
+    rows += [(7, " ".join(f"w{i}" for i in range(90)), "de", "s", None), (8, " ".join(f"w{i}" for i in range(90)) + "\n", "de", "s", None)]
+    odd = spark.createDataFrame(rows, docs.schema)
+    own = dict(c.STAGES)
+    found = {r["doc_id"]: r for r in own["language_id"](spark, odd, SF).collect()}
+    assert set(found) == {1, 2, 5, 7, 8} and all(r["lang"] in ("en", "de") for r in found.values())  # the predicted language is the new one
+    left = own["line_dedup"](spark, own["language_id"](spark, odd, SF), SF).collect()
+    texts = {r["doc_id"]: r["text"] for r in left}
+    assert texts[1] == rows[0][1] and texts[2] == "third line" and 8 not in texts and texts[7] == rows[7][1]
+    assert {r["doc_id"] for r in own["simhash_near_dedup"](spark, odd, SF).collect()} == {None, 1, 2, 4, 5, 6, 7}
+    assert own["decontamination"](spark, odd, SF).count() == len(rows)
+    done = {r["doc_id"]: r for r in own["sentencepiece"](spark, odd, SF).collect()}
+    assert len(done) == 8 and all(r["round_trip"] for i, r in done.items() if i is not None) and done[None]["ids"] == []
+    for name, stage in c.STAGES:  # empty tables, and extra columns named like those of the operators
+        assert stage(spark, odd.limit(0), SF).count() == 0
+        wide = odd
+        for extra in ("id", "doc", "line", "key", "norm", "fp", "component_id", "lang_pred", "score", "ids", "item", "start"):
+            wide = wide.withColumn(extra, F.lit("x"))
+        assert stage(spark, wide, SF).count() == stage(spark, odd, SF).count()
+
+
 @needs_tables
 def test_pipeline_stages(spark):
     import corpus_pipeline as c
