@@ -10,16 +10,24 @@ from pyspark.sql import functions as F
 from tesserae.llm import decontam, langid, lines, pieces, simhash
 from tesserae.llm.common import load, shared_dir
 
+KEEP: list[str] = []  # languages that stay; empty: every learned one
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Profiles are learned from the rows that declare a language; texts without a letter go."""
+    """Documents get the language that they are written in as ``lang``; those without one go.
+
+    Profiles are learned from the rows that declare a language.  The prediction replaces the declared language, which
+    may be null or wrong; texts that are null or have no letter, and those in none of KEEP (all languages, if it is
+    empty), are rejected.  If no row declares a language, nothing can be predicted and all go.
+    """
     found = langid.identify(docs.select(*COLUMNS), langid.train(docs))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
+    kept = found.where(F.col("lang_pred").isin(KEEP) if KEEP else F.col("lang_pred") != langid.UNKNOWN)
+    return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near-duplicate lines go, but for the earliest; ``n_chars`` follows.  Documents without a visible line left go."""
     return lines.dedup_lines(docs.select(*COLUMNS))
 
 
@@ -37,6 +45,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every text by the two best segmentations, with the proof of the round trip; null texts have none."""
     return pieces.encode_documents(docs, pieces.Vocabulary.read(pieces.MODEL))
 
 
@@ -47,7 +56,8 @@ STAGES = [
     ("decontamination", decontaminate),
     ("sentencepiece", encode),
 ]
-#: SQL expresses none of: learned profiles, fingerprint bits over long texts, edit matching, lattices.
+#: SQL expresses none of: learned profiles, fingerprint bits over long texts, edit matching, lattices.  Each stage is
+#: tested against a plain version of its operator, and the stages' decisions and edges in tests/llm.
 ORACLE_SQL = None
 
 
