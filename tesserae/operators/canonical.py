@@ -9,10 +9,9 @@ from ..functions.materials import with_canonical_name
 from ..functions.text import clean, first_text, list_or_empty, species, strip, text_or_empty
 
 
-def latest_result(results: DataFrame) -> DataFrame:
-    """One row for each uid.  Where a result table has several, the last in its own order wins."""
-    order = F.monotonically_increasing_id()
-    tagged = results.where("uid is not null").withColumn("__n", order)
+def latest_result(results: DataFrame, order: Column | None = None) -> DataFrame:
+    """One row for each uid.  Where a result table has several, the last by ``order`` wins; without one, the last that is read."""
+    tagged = results.where("uid is not null").withColumn("__n", F.monotonically_increasing_id() if order is None else order)
     names = [c for c in results.columns if c != "uid"]
     return tagged.groupBy("uid").agg(F.max_by(F.struct(*names), "__n").alias("r")).select("uid", "r.*")
 

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import first_text, strip, text_or_empty
@@ -123,26 +123,34 @@ def remaining(queue: DataFrame, done: DataFrame, key: str = "uid") -> DataFrame:
     return queue.join(done.select(key).distinct(), key, "left_anti")
 
 
-def resume(queue: DataFrame, path: str, step: Callable[[DataFrame], DataFrame], schema: str, keep_failed: bool = False) -> DataFrame:
+def resume(queue: DataFrame, path: str, step: Callable[[DataFrame], DataFrame], schema: str, keep_failed: bool = False, key: str = "uid", flush: int = 2000) -> DataFrame:
     """Runs ``step`` on what the checkpoint at ``path`` lacks, appends its rows there, and returns them all.
 
-    Failed records stay out of the checkpoint, so the next run tries them again.
+    The records go in groups of about ``flush``, dealt by a hash of their key, and each group's rows are committed
+    before the next begins: a crash loses the answers of one group.  Failed records stay out of the checkpoint, so
+    the next run tries them again.
     """
     from ..sources.io import exists
 
     spark = queue.sparkSession
     done = spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
-    made = step(remaining(queue, done))
-    if not keep_failed and "status" in made.columns:
-        made = made.where("status = 'ok'")
-    made.write.mode("append").parquet(path)
+    rest = remaining(queue, done, key)
+    groups = max(1, -(-rest.count() // flush))
+    for n in range(groups):
+        made = step(rest if groups == 1 else rest.where(F.pmod(F.xxhash64(key), F.lit(groups)) == n))
+        if not keep_failed and "status" in made.columns:
+            made = made.where("status = 'ok'")
+        made.write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def family_rollup(results: DataFrame, samples: int = 5) -> DataFrame:
-    """(family, members_sample, count), largest first, families in order of appearance among equals."""
+def family_rollup(results: DataFrame, samples: int = 5, order: Column | None = None) -> DataFrame:
+    """(family, members_sample, count), largest first, families in order of appearance among equals.
+
+    ``order`` tells the order of appearance; without one it is that in which rows are read.
+    """
     family = first_text(strip(text_or_empty("canonical_catalyst_family")), strip(text_or_empty("canonical_name")))
-    rows = results.withColumn("__n", F.monotonically_increasing_id())
+    rows = results.withColumn("__n", F.monotonically_increasing_id() if order is None else order)
     rows = rows.select(family.alias("family"), first_text("canonical_catalyst_name", family).alias("member"), "__n").where("family <> ''")
     first = rows.groupBy("family", "member").agg(F.min("__n").alias("first"), F.count("*").alias("n"))
     picked = first.withColumn("k", F.row_number().over(Window.partitionBy("family").orderBy("first")))
@@ -151,9 +159,9 @@ def family_rollup(results: DataFrame, samples: int = 5) -> DataFrame:
     return out.orderBy(F.desc("count"), "__first").drop("__first")
 
 
-def complete_map(families: DataFrame, answers: DataFrame) -> DataFrame:
-    """A (family, canonical) row for each family: the first valid answer, else the family itself."""
-    ordered = answers.withColumn("__n", F.monotonically_increasing_id()).withColumns({"family": strip(text_or_empty("family")), "canonical": strip(text_or_empty("canonical"))})
+def complete_map(families: DataFrame, answers: DataFrame, order: Column | None = None) -> DataFrame:
+    """A (family, canonical) row for each family: the first valid answer by ``order`` (without one, as read), else the family itself."""
+    ordered = answers.withColumn("__n", F.monotonically_increasing_id() if order is None else order).withColumns({"family": strip(text_or_empty("family")), "canonical": strip(text_or_empty("canonical"))})
     first = ordered.where("family <> '' and canonical <> ''").groupBy("family").agg(F.min_by("canonical", "__n").alias("canonical"))
     return families.select("family").distinct().join(first, "family", "left").withColumn("canonical", F.coalesce("canonical", "family"))
 

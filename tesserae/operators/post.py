@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EDGE_KEY = ["source", "target", "edge_type"]
@@ -37,18 +37,27 @@ def dangling_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return no_source.unionByName(no_target)
 
 
+def repeated(nodes: DataFrame, *extra) -> DataFrame:
+    """(uid, n) of the ids that occur more than once, with further aggregates on demand."""
+    return nodes.groupBy("uid").agg(F.count("*").alias("n"), *extra).where("n > 1")
+
+
 def assert_unique_nodes(nodes: DataFrame) -> None:
     """Raises with up to ten samples if a uid occurs twice."""
-    twice = nodes.groupBy("uid").count().where("count > 1")
+    twice = repeated(nodes)
     sample = [r["uid"] for r in twice.orderBy("uid").limit(10).collect()]
     if sample:
         raise ValueError(f"{twice.count()} node ids occur more than once, such as {', '.join(sample)}")
 
 
-def merge_nodes(parts: list[DataFrame], by: str = "uid") -> DataFrame:
-    """Node tables of several runs in one; the first part that has an id gives its row."""
+def merge_nodes(parts: list[DataFrame], by: str = "uid", order: Column | str | None = None) -> DataFrame:
+    """Node tables of several runs in one; the first part that has an id gives its row.
+
+    Within a part ``order`` decides (``ord``, if the parts have that column); without either, the order in which rows are read.
+    """
     tagged = union_all(*[p.withColumn("__part", F.lit(i)) for i, p in enumerate(parts)])
-    tagged = tagged.withColumn("__pos", F.monotonically_increasing_id())
+    place = order if order is not None else "ord" if "ord" in tagged.columns else F.monotonically_increasing_id()
+    tagged = tagged.withColumn("__pos", F.col(place) if isinstance(place, str) else place)
     names = [c for c in tagged.columns if c not in (by, "__part", "__pos")]
     return tagged.groupBy(by).agg(F.min_by(F.struct(*names), F.struct("__part", "__pos")).alias("x")).select(by, "x.*")
 

@@ -80,20 +80,26 @@ def explorer_summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return counts.crossJoin(nodes.agg(F.count_distinct("uid").alias("total_nodes")))  # one row each
 
 
+def packed(rows: DataFrame, by: str, columns: list[str], name: str) -> DataFrame:
+    """One row for each value of ``by`` with its rows as a sorted list of structs."""
+    return rows.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
+
+
 def paper_bundles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(paper_uid, year, doi, nodes, edges) by year and DOI: a document's nodes, and its edges among them and to terms.
 
     One document's rows make one list, so the lists are bounded by the largest document.
     """
     own = nodes.where("paper_uid is not null")
-    packed = own.groupBy("paper_uid").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "uid", "node_type"))), lambda x: F.struct(x["uid"].alias("uid"), x["node_type"].alias("node_type"))).alias("nodes"))
+    listed = packed(own, "paper_uid", ["ord", "uid", "node_type"], "nodes")
+    listed = listed.select("paper_uid", F.transform("nodes", lambda x: F.struct(x["uid"].alias("uid"), x["node_type"].alias("node_type"))).alias("nodes"))
     inside = own.select(F.col("uid").alias("source"), F.col("paper_uid").alias("sp"))
     ends = own.select(F.col("uid").alias("target"), F.col("paper_uid").alias("tp"))
     e = edges.join(inside, "source", "left").join(ends, "target", "left")
     e = e.withColumn("p", F.when(F.col("sp") == F.col("tp"), F.col("sp")).when(F.col("target").startswith("onto:"), F.col("sp")).when(F.col("source").startswith("onto:"), F.col("tp")))
-    links = e.where("p is not null").groupBy(F.col("p").alias("paper_uid")).agg(F.array_sort(F.collect_list(F.struct("source", "target", "edge_type"))).alias("edges"))
+    links = packed(e.where("p is not null").withColumn("paper_uid", F.col("p")), "paper_uid", ["source", "target", "edge_type"], "edges")
     heads = nodes.where("node_type = 'Paper'").select("paper_uid", "doi", "title", "year")
-    return heads.join(packed, "paper_uid", "left").join(links, "paper_uid", "left").orderBy(F.coalesce("year", F.lit(0)), "doi")
+    return heads.join(listed, "paper_uid", "left").join(links, "paper_uid", "left").orderBy(F.coalesce("year", F.lit(0)), "doi")
 
 
 def type_counts_by_paper(nodes: DataFrame) -> DataFrame:
@@ -102,9 +108,9 @@ def type_counts_by_paper(nodes: DataFrame) -> DataFrame:
     return nodes.where("paper_uid is not null").groupBy("paper_uid", "node_type").agg(F.count("*").alias("n")).withColumn("place", place)
 
 
-def type_breakdown(edges: DataFrame) -> DataFrame:
-    """(edge_type, n, cross_paper, percent): likely edges by type, and their share of the largest."""
-    out = edges.where(F.col("edge_type").isin(LIKELY)).groupBy("edge_type").agg(F.count("*").alias("n"), F.count_if(F.col("witness_paper_count") > 1).alias("cross_paper"))
+def type_breakdown(edges: DataFrame, types: list[str] = LIKELY) -> DataFrame:
+    """(edge_type, n, cross_paper, percent): the edges of some types (the likely ones) by type, and their share of the largest."""
+    out = edges.where(F.col("edge_type").isin(types)).groupBy("edge_type").agg(F.count("*").alias("n"), F.count_if(F.col("witness_paper_count") > 1).alias("cross_paper"))
     return out.withColumn("percent", F.col("n") * 100.0 / F.max("n").over(Window.partitionBy()))
 
 
@@ -129,10 +135,21 @@ def sort_by(df: DataFrame, column: str, descending: bool = False, tie: str | Non
     return df.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last(), *([tie] if tie else []))
 
 
-def neighbours(df: DataFrame, order: list, key: str) -> DataFrame:
-    """``df`` with the keys before and after each row in a filtered list."""
-    w = Window.orderBy(*order)
-    return df.withColumns({"previous": F.lag(key).over(w), "next": F.lead(key).over(w)})
+def neighbours(df: DataFrame, order: list, key: str, ranges: int | None = None) -> DataFrame:
+    """``df`` with the keys before and after each row in a filtered list.
+
+    Rows are sorted within ranges of the order; only the first and last key of each range pass through one task.
+    ``order`` must end in a column that tells rows apart; keys are not null.
+    """
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id())
+    w = Window.partitionBy("__range").orderBy(*order)
+    rows = rows.withColumns({"previous": F.lag(key).over(w), "next": F.lead(key).over(w)})
+    ends = rows.groupBy("__range").agg(F.max(F.when(F.col("previous").isNull(), F.col(key))).alias("first"), F.max(F.when(F.col("next").isNull(), F.col(key))).alias("last"))
+    across = Window.orderBy("__range")
+    ends = ends.select("__range", F.lag("last").over(across).alias("__before"), F.lead("first").over(across).alias("__after"))
+    out = rows.join(F.broadcast(ends), "__range")  # a row for each range
+    return out.select(*df.columns, F.coalesce("previous", "__before").alias("previous"), F.coalesce("next", "__after").alias("next"))
 
 
 def page_after(df: DataFrame, order: str, after, size: int) -> DataFrame:

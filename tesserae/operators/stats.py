@@ -46,6 +46,17 @@ def graph_stats(nodes: DataFrame, edges: DataFrame) -> dict:
     }
 
 
+def growth(rows: DataFrame, keys: list[str], year: str, since: int, least: int) -> DataFrame:
+    """(keys, observed, future, growth): occurrences before and from a year on, for keys that were seen ``least`` times before."""
+    counts = rows.groupBy(*keys).agg(F.count_if(F.col(year) < since).alias("observed"), F.count_if(F.col(year) >= since).alias("future"))
+    return counts.where(F.col("observed") >= least).withColumn("growth", F.col("future") / F.col("observed").cast("double"))
+
+
+def motifs(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """(keys, n) of the combinations of tags that occur together ``least`` times."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+
+
 def report(stats: dict) -> str:
     """The report as text."""
     s = stats["summary"]

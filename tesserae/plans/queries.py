@@ -6,7 +6,9 @@ supplier, and brands, types, segments and priorities are ontology tags.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import materials, text
@@ -66,11 +68,11 @@ def cooccur(spark, d):
 
 
 @query("""
-with p as (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where l_orderkey < 200),
+with p as (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem),
 e as (select p_brand as source, o_orderpriority as target, l_orderkey from p join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey)
 select source, target, list_aggregate(list_sort(list_distinct(list(l_orderkey))), 'string_agg', ',') as witness_papers from e group by all""")
 def witness_array(spark, d):
-    tags = order_tags(spark, d).where("ctx.l_orderkey < 200 and type in ('brand', 'priority')")
+    tags = order_tags(spark, d).where("type in ('brand', 'priority')")
     out = bridge.pair_up(tags, [("brand", "priority", "LIKELY_SUPPORTS")])
     return out.select("source", "target", F.array_join(F.transform("witness_papers", lambda p: p.cast("string")), ",").alias("witness_papers"))
 
@@ -183,9 +185,9 @@ def graph_likely_uses(spark, d):
 select 'order:' || l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey as step,
   lead(l_partkey) over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice)::bigint as next_part from lineitem""")
 def next_step(spark, d):
-    rows = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))).alias("s"))
+    rows = readmodel.packed(_t(spark, d, "lineitem"), "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], "s")
     each = rows.select("l_orderkey", F.posexplode("s").alias("k", "x"), "s")
-    return each.select(F.concat_ws(":", F.lit("order"), "l_orderkey", "x.l_linenumber", "x.l_partkey", "x.l_suppkey").alias("step"), F.get("s", F.col("k") + 1)["l_partkey"].alias("next_part"))
+    return each.select(F.concat_ws(":", F.lit("order"), "l_orderkey", "x.l_linenumber", "x.l_partkey", "x.l_suppkey").alias("step"), instance.following("s", "k")["l_partkey"].alias("next_part"))
 
 
 @query("""
@@ -228,7 +230,7 @@ def anti(spark, d):
 @query("select sha256(text) as uid, min(doc_id) as kept, count(*)::bigint as n from documents group by 1 having count(*) > 1")
 def dup_uid(spark, d):
     docs = _t(spark, d, "documents").select(F.sha2("text", 256).alias("uid"), "doc_id")
-    return docs.groupBy("uid").agg(F.min("doc_id").alias("kept"), F.count("*").alias("n")).where("n > 1")
+    return post.repeated(docs, F.min("doc_id").alias("kept"))
 
 
 def _reactions(spark, d):
@@ -297,13 +299,13 @@ def lift(spark, d):
 
 
 def _brand_sets(spark, d):
-    rows = _t(spark, d, "part").where("p_size <= 12")
+    rows = _t(spark, d, "part")
     return rows.groupBy("p_brand").agg(F.min("p_partkey").alias("f"), F.array_sort(F.collect_set(F.concat_ws("/", "p_type", F.col("p_size") % 4))).alias("s"), F.max("p_size").alias("m"))
 
 
 _SETS_SQL = """
-with e as (select distinct p_brand, p_type || '/' || (p_size % 4) as x from part where p_size <= 12),
-b as (select p_brand, min(p_partkey) as f, max(p_size) % 2 as m from part where p_size <= 12 group by 1),
+with e as (select distinct p_brand, p_type || '/' || (p_size % 4) as x from part),
+b as (select p_brand, min(p_partkey) as f, max(p_size) % 2 as m from part group by 1),
 n as (select p_brand, count(*) as n from e group by 1),
 i as (select a.p_brand as s, b.p_brand as t, count(*) as n from e a join e b using (x) group by 1, 2),
 p as (select a.p_brand as source, b.p_brand as target, a.m = b.m as same, coalesce(i.n, 0) / (na.n + nb.n - coalesce(i.n, 0))::double as jac
@@ -364,8 +366,8 @@ def edge_samples(spark, d):
 @query("""
 select l_orderkey, count(*)::bigint as n, string_agg(l_linenumber || '/' || l_partkey || '/' || l_suppkey, ';' order by l_linenumber, l_partkey, l_suppkey) as items from lineitem group by 1""")
 def bundle(spark, d):
-    rows = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("x"))
-    return rows.select("l_orderkey", "n", F.array_join(F.transform("x", lambda i: F.concat_ws("/", i["l_linenumber"], i["l_partkey"], i["l_suppkey"])), ";").alias("items"))
+    rows = readmodel.packed(_t(spark, d, "lineitem"), "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "x")
+    return rows.select("l_orderkey", F.size("x").cast("bigint").alias("n"), F.array_join(F.transform("x", lambda i: F.concat_ws("/", i["l_linenumber"], i["l_partkey"], i["l_suppkey"])), ";").alias("items"))
 
 
 @query("""
@@ -458,8 +460,7 @@ select p_brand, p_type, observed, future, round(future / observed::double, 6) as
 def burst(spark, d):
     y = _t(spark, d, "lineitem").join(_t(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").alias("y")), "l_orderkey")
     y = y.join(_t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type"), "l_partkey")
-    g = y.groupBy("p_brand", "p_type").agg(F.count_if(F.col("y") < 1998).alias("observed"), F.count_if(F.col("y") >= 1998).alias("future")).where("observed >= 5")
-    return g.withColumn("growth", F.round(F.col("future") / F.col("observed").cast("double"), 6))
+    return stats.growth(y, ["p_brand", "p_type"], "y", 1998, 5).withColumn("growth", F.round("growth", 6))
 
 
 @query("""
@@ -470,7 +471,7 @@ def motif3(spark, d):
     i = i.join(_t(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").join(_t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
     i = i.join(_t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey").join(_t(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
     i = i.join(_t(spark, d, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), "s_nationkey")
-    return i.groupBy("c_mktsegment", "p_type", "n_name").agg(F.count("*").alias("n")).where("n >= 3")
+    return stats.motifs(i, ["c_mktsegment", "p_type", "n_name"], 3)
 
 
 @query("select event_id // 20 as batch, count(*)::bigint as n, min(event_id) as first_id from events group by 1")
@@ -485,8 +486,9 @@ def incident(spark, d):
 
 @query("select event_type, count(*)::bigint as n, round(count(*) * 100.0 / max(count(*)) over (), 6)::double as percent from events group by 1")
 def percent_of_max(spark, d):
-    edges = _t(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"))
-    return edges.withColumn("percent", F.round(F.col("n") * 100.0 / F.max("n").over(Window.partitionBy()), 6).cast("double"))
+    edges = _t(spark, d, "events").select(F.col("event_type").alias("edge_type"), F.lit(1).alias("witness_paper_count"))
+    out = readmodel.type_breakdown(edges, sum(EVENT_GROUPS.values(), []))
+    return out.select(F.col("edge_type").alias("event_type"), "n", F.round("percent", 6).cast("double").alias("percent"))
 
 
 @query("select l_shipdate::date as edge_type, count(*)::bigint as n from lineitem group by 1 order by 2 desc, 1 limit 20")
@@ -525,19 +527,266 @@ with m as (select p_brand as family, p_type as member, count(*) as n, min(p_part
 r as (select *, row_number() over (partition by family order by f) as k from m)
 select family, string_agg(member, ',' order by k) filter (k <= 5) as members_sample, sum(n)::bigint as "count" from r group by 1""")
 def family_rollup(spark, d):
-    rows = _t(spark, d, "part").orderBy("p_partkey").coalesce(1).select(F.col("p_type").alias("canonical_catalyst_name"), F.col("p_brand").alias("canonical_catalyst_family"), F.lit("").alias("canonical_name"))
-    out = normalize.family_rollup(rows)
+    rows = _t(spark, d, "part").select("p_partkey", F.col("p_type").alias("canonical_catalyst_name"), F.col("p_brand").alias("canonical_catalyst_family"), F.lit("").alias("canonical_name"))
+    out = normalize.family_rollup(rows, order=F.col("p_partkey"))
     return out.select("family", F.array_join("members_sample", ",").alias("members_sample"), _big("count").alias("count"))
 
 
-@query()
+# --- material rules: raw fields made from the parts' own values, and the name that the rules give ----------------
+
+
+def _cases(columns: list[str], cases: list[tuple], sql_name: str) -> tuple[str, callable]:
+    """SQL and a frame for cases dealt over the parts by key; the last value of a case is the expected one.
+
+    ``{}`` in a value stands for the part's size, ``[]`` for its brand.
+    """
+    filled = lambda v: "replace(replace('" + v.replace("'", "''") + "', '{}', p_size::varchar), '[]', p_brand)"
+    sql = f"select p_partkey, case p_partkey % {len(cases)} " + " ".join(f"when {i} then {filled(c[-1])}" for i, c in enumerate(cases)) + f" end as {sql_name} from part"
+
+    def frame(spark, d):
+        rows = spark.createDataFrame([(i, *c[:-1]) for i, c in enumerate(cases)], ", ".join(["k bigint", *(f"{c} string" for c in columns)]))
+        part = _t(spark, d, "part").select("p_partkey", "p_size", "p_brand", (F.col("p_partkey") % len(cases)).alias("k"))
+        fill = lambda c: F.replace(F.replace(F.col(c), F.lit("{}"), F.col("p_size").cast("string")), F.lit("[]"), F.col("p_brand"))
+        out = part.join(F.broadcast(rows), "k").select("p_partkey", *[fill(c).alias(c) for c in columns])  # a row for each case
+        return out.withColumns({c: F.filter(F.split(c, "[|]"), lambda x: x != "") for c in columns if c in ("aliases", "labels_material_platform")})
+
+    return sql, frame
+
+
+_METAL, _OXIDE, _CARBON = "supported_metal_nanoparticles", "metal_oxides_hydroxides_oxyhydroxides", "carbon_based"
+_FIELDS = ["name_reported", "substrate_or_support", "series_name", "aliases", "variant_rule", "variant_value", "labels_material_platform", "given"]
+
+
+def _field_cases(*cases: tuple[dict, str]) -> list[tuple]:
+    return [(*(fields.get(c, "") for c in _FIELDS), want) for fields, want in cases]
+
+
+_SUPPORT_SQL, _support_rows = _cases(
+    ["s"],
+    [("  Gamma-Alumina ", "Al2O3"), ("γ-Al2O3", "Al2O3"), ("silica", "SiO2"), ("AC [] powder", "AC [] powder"), ("ac", "activated carbon"), ("[] activated carbon", "activated carbon"),
+     ("multiwall carbon nanotube {}", "CNT"), ("graphene oxide", "graphene"), ("alumina on cordierite", "Al2O3-coated cordierite"), ("cordierite monolith", "cordierite monolith"),
+     ("Cordierite {}", "cordierite"), ("ceramic honeycomb with Al2O3", "Al2O3-coated ceramic honeycomb"), ("calcium aluminate {}", "calcium aluminate"), ("Montmorillonite K{}", "montmorillonite"),
+     ("Zr-SBA-15", "ZrO2-SBA-15"), ("ceria", "CeO2"), ("[]", "[]"), ("", "")],
+    "support",
+)
+
+
+@query(_SUPPORT_SQL)
+def support_names(spark, d):
+    return _support_rows(spark, d).select("p_partkey", materials.support_name("s").alias("support"))
+
+
+_CONTROL_SQL, _control_rows = _cases(
+    ["s"],
+    [("No Catalyst", "yes"), ("without catalyst", "yes"), ("absence of the catalyst", "yes"), ("uncatalyzed condition", "yes"), ("NONE", "yes"), ("blank test without catalyst", "yes"),
+     ("no catalyst []", "no"), ("none of {}", "no"), ("[]", "no"), ("", "no")],
+    "control",
+)
+
+
+@query(_CONTROL_SQL)
+def control_names(spark, d):
+    return _control_rows(spark, d).select("p_partkey", F.when(materials.is_control("s"), "yes").otherwise("no").alias("control"))
+
+
+_HEAT_SQL, _heat_rows = _cases(
+    ["variant_rule", "variant_value", "name_reported", "aliases"],
+    [("pyrolysis T", "6{} °C", "char-450", "", "450C"), ("Pyrolysis", "600 °C", "char-450", "", "600C"), ("", "600 C", "de-char 520", "", "520C"), ("", "", "[] at 700C", "x 800 C", "700C"),
+     ("", "", "[]", "a|made at 850 º C", "850C"), ("carbonization", "{}", "[] 45 C", "", ""), ("", "", "Char_1000", "", "1000C")],
+    "heat",
+)
+
+
+@query(_HEAT_SQL.replace("'6{} °C'", "''").replace("when 0 then replace(replace('450C', '{}', p_size::varchar), '[]', p_brand)", "when 0 then case when p_size between 10 and 99 then '6' || p_size || 'C' else '450C' end"))
+def carbon_heat(spark, d):
+    return _heat_rows(spark, d).select("p_partkey", F.coalesce(materials.carbon_variant(), F.lit("")).alias("heat"))
+
+
+_CARBON_SQL, _carbon_rows = _cases(
+    _FIELDS,
+    _field_cases(
+        ({"name_reported": "char-450"}, "oil shale char@450C"),
+        ({"name_reported": "brown coal char", "variant_rule": "pyrolysis T", "variant_value": "600 °C"}, "brown coal char@600C"),
+        ({"name_reported": "Raw Coal"}, "raw coal"),
+        ({"name_reported": "x{}", "substrate_or_support": "AC"}, "activated carbon"),
+        ({"name_reported": "x", "aliases": "MWCNT|carbon nanotube []"}, "CNT"),
+        ({"name_reported": "co-pyrolysis char of raw wheat straw"}, "co-pyrolysis char from raw wheat straw/coal"),
+        ({"name_reported": "co-pyrolysis char", "variant_rule": "pyrolysis", "variant_value": "800C"}, "co-pyrolysis char@800C"),
+        ({"name_reported": "petroleum coke []"}, "petroleum coke"),
+        ({"name_reported": "flyash {}"}, "unburned carbon in fly ash"),
+        ({"name_reported": "peat char activated by KOH"}, "KOH-activated peat char"),
+        ({"name_reported": "biomass char at 700 °C"}, "biomass char@700C"),
+        ({"name_reported": "[]"}, ""),
+    ),
+    "carbon",
+)
+
+
+@query(_CARBON_SQL)
+def carbon_materials(spark, d):
+    return materials.with_carbon(_carbon_rows(spark, d)).select("p_partkey", F.col("__carbon").alias("carbon"))
+
+
+_REPLACE_SQL, _replace_rows = _cases(
+    ["c", "r"],
+    [("Al2O3", "", "no"), ("", "SiO2", "yes"), ("alumina", "Al2O3", "no"), ("carbon", "CNT", "yes"), ("Al2O3", "cordierite", "yes"), ("SiO2", "cordierite", "no"), ("[]", "TiO2", "no")],
+    "replaced",
+)
+
+
+@query(_REPLACE_SQL)
+def support_replaced(spark, d):
+    return _replace_rows(spark, d).select("p_partkey", F.when(materials.replaces(F.col("c"), F.col("r")), "yes").otherwise("no").alias("replaced"))
+
+
+_RULE_SQL, _rule_rows = _cases(
+    _FIELDS,
+    _field_cases(
+        ({"name_reported": "uncatalyzed"}, "no_catalyst"),
+        ({"name_reported": "{} wt% Ni / gamma-alumina"}, "Ni/Al2O3"),
+        ({"name_reported": "Pd/", "substrate_or_support": "silica"}, "Pd/SiO2"),
+        ({"name_reported": "x", "substrate_or_support": "biochar"}, "biochar"),
+        ({"name_reported": "{}.5% Pt", "substrate_or_support": "titania"}, "Pt/TiO2"),
+        ({"name_reported": "Cu nano thing", "substrate_or_support": "titania"}, "Cu nano thing"),
+        ({"name_reported": "", "substrate_or_support": "ceria"}, "CeO2"),
+        ({"name_reported": "Pt-rods"}, "Pt"),
+        ({"name_reported": ""}, "unknown"),
+    ),
+    "rule",
+)
+
+
+@query(_RULE_SQL)
+def rule_names(spark, d):
+    return materials.with_rule_name(_rule_rows(spark, d)).select("p_partkey", F.col("__rule").alias("rule"))
+
+
+_NAME_SQL, _name_rows = _cases(
+    _FIELDS,
+    _field_cases(
+        ({"name_reported": "{} wt% LaCoO3"}, "LaCoO3"),
+        ({"name_reported": "x", "given": "no-catalyst blank"}, "no_catalyst"),
+        ({"name_reported": "Pt", "substrate_or_support": "alumina", "labels_material_platform": _METAL, "given": "Al2O3"}, "Pt/Al2O3"),
+        ({"name_reported": "NiAl-oxide", "labels_material_platform": _OXIDE, "given": "Ni/Al2O3"}, "NiAl-oxide"),
+        ({"name_reported": "Pd", "substrate_or_support": "cordierite monolith", "given": "Pd/Al2O3"}, "Pd/cordierite monolith"),
+        ({"name_reported": "[]", "given": "Fe/ZSM-{}"}, "Fe/ZSM-{}"),
+        ({"name_reported": "coprecipitated NiO", "substrate_or_support": "sand", "given": "NiO/SiO2"}, "coprecipitated NiO"),
+        ({"name_reported": "Ru", "substrate_or_support": "activated carbon", "given": "Ru/C"}, "Ru/activated carbon"),
+        ({"name_reported": "[] thing", "given": "carbon"}, "[] thing"),
+        ({"name_reported": "[] thing", "given": "carbon", "labels_material_platform": _CARBON}, "carbon"),
+    ),
+    "name",
+)
+
+
+@query(_NAME_SQL)
+def canonical_names(spark, d):
+    return materials.with_canonical_name(_name_rows(spark, d), "given").select("p_partkey", F.col("canonical").alias("name"))
+
+
+_SHORT = [
+    ("no catalyst used", "", "", "__no_catalyst__"), ("Amberlyst 15", "", "", "Amberlyst-15"), ("{}% Pt/γ-Al2O3", "", "", "Pt/Al2O3"), ("Ru supported on silica", "", "", "Ru/SiO2"),
+    ("0.3-FeNiAl", "", "", "FeNiAl"), ("{}NiHT", "", "", "NiMgAl-HT"), ("CuZnAl-1.5", "", "", "CuZnAl"), ("Co", "titania", "", "Co/TiO2"), ("coal char", "", _CARBON, "coal-char"),
+    ("HZSM5", "", "zeolites_molecular_sieves", "HZSM-5"), ("Rhodococcus erythropolis []", "", "bio_biocatalyst_immobilized", "Rhodococcus erythropolis"), ("olivine", "", "", "olivine"),
+]
+_SHORT_SQL, _short_rows = _cases(["name_reported", "substrate_or_support", "labels_material_platform"], _SHORT, "name")
+
+
+@query(_SHORT_SQL)
+def short_names(spark, d):
+    return materials.with_short_name(_short_rows(spark, d)).select("p_partkey", F.col("canonical_name").alias("name"))
+
+
+_SHORT_SUPPORT_SQL, _short_support_rows = _cases(
+    ["s"], [("γ-Alumina (pseudo-boehmite)", "Al2O3"), ("alpha-Al2O3 ([])", "Al2O3"), ("Silica gel", "SiO2"), ("Activated Carbon", "C"), ("carbon nanotubes (CNTs)", "CNT"), ("Ni foam", "Ni-foam"), ("zirconia", "ZrO2")], "support"
+)
+
+
+@query(_SHORT_SUPPORT_SQL)
+def short_supports(spark, d):
+    return _short_support_rows(spark, d).select("p_partkey", materials.short_support("s").alias("support"))
+
+
+@query(f"with n as ({_SHORT_SQL}), c as (select name, count(*) as n from n group by 1) select sum(n)::bigint as n_rows, count(*)::bigint as names, count(*) filter (n = 1)::bigint as singletons, max(n)::bigint as largest from c")
+def compression(spark, d):
+    got = canonical.compression_report(materials.with_short_name(_short_rows(spark, d)))
+    return spark.createDataFrame([(got["rows"], got["names"], got["singletons"], got["largest"][0][1])], "n_rows bigint, names bigint, singletons bigint, largest bigint")
+
+
+# --- the legs of a context: brands are procedures, types characterizations, sizes claims, nations datasets -------
+
+
+def _context_edges(spark, d) -> dict[str, DataFrame]:
+    items = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    part = _t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_size")
+    nation = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    wide = items.join(part, "l_partkey").join(nation, "l_suppkey")
+    uid = lambda kind, *cs: F.concat_ws(":", F.lit(kind), *cs)
+    edge = lambda df, source, target: df.select(source.alias("source"), target.alias("target")).distinct()
+    cat, rxn, proc, char, claim = uid("cat", "l_partkey"), uid("rxn", "l_suppkey"), uid("proc", "p_brand"), uid("char", "p_type"), uid("claim", "p_size")
+    perf, op, metric = uid("perf", "s_nationkey"), uid("op", "s_nationkey", "l_linestatus"), uid("metric", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    measured = wide.where("l_returnflag = 'A'")
+    return {
+        "TESTED_IN": items.select(F.array("l_orderkey", "l_linenumber").alias("ord"), uid("paper", "l_orderkey").alias("paper_uid"), cat.alias("source"), rxn.alias("target")),
+        "APPLIES_TO": edge(part, proc, cat),
+        "SPECIFIC_TO": edge(wide.where("p_brand like '%1' and l_returnflag = 'R'"), proc, rxn),
+        "HAS_STEP": edge(part, proc, uid("step", "p_brand", F.col("p_size") % 3)),
+        "APPLIES_TO_CATALYST": edge(part, char, cat).union(edge(part, claim, cat)),
+        "HAS_PERFORMANCE_DATASET": edge(nation, rxn, perf),
+        "FOR_CATALYST": edge(measured, metric, cat),
+        "UNDER_REACTION": edge(measured, metric, rxn),
+        "HAS_METRIC": edge(measured, op, metric),
+        "HAS_OPERATING_POINT": edge(measured, perf, op),
+        "ABOUT_REACTION": edge(wide.where("l_returnflag = 'N'"), claim, rxn),
+        "HAS_EVIDENCE": edge(part, claim, uid("evidence", "p_size", "p_brand")),
+    }
+
+
+_CONTEXT_SQL = """
+with li as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, p_brand, p_type, p_size, s_nationkey from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey),
+m as ({}) select member, count(*)::bigint as n from m group by 1"""
+
+
+def _leg(spark, d, name: str) -> DataFrame:
+    return bridge.contexts(_context_edges(spark, d), {name}).groupBy("member").agg(F.count("*").alias("n"))
+
+
+@query(_CONTEXT_SQL.format("""
+    select x.member from li, lateral (select 'proc:' || p_brand as member union all select 'step:' || p_brand || ':' || k from (select distinct part.p_brand as b, part.p_size % 3 as k from part) where b = p_brand) x
+    where p_brand not in (select p_brand from li where p_brand like '%1' and l_returnflag = 'R')
+       or (p_brand, l_suppkey) in (select p_brand, l_suppkey from li where p_brand like '%1' and l_returnflag = 'R')"""))
+def context_procedures(spark, d):
+    return _leg(spark, d, "procedure")
+
+
+@query(_CONTEXT_SQL.format("select 'char:' || p_type as member from li"))
+def context_characterizations(spark, d):
+    return _leg(spark, d, "characterization")
+
+
+@query(_CONTEXT_SQL.format("""
+    select 'perf:' || s_nationkey as member from li
+    union all select unnest(['op:' || a.s_nationkey || ':' || a.l_linestatus, 'metric:' || a.l_orderkey || ':' || a.l_linenumber || ':' || a.l_partkey || ':' || a.l_suppkey])
+    from li join (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey, s_nationkey, l_linestatus from li where l_returnflag = 'A') a on li.l_partkey = a.l_partkey and li.l_suppkey = a.l_suppkey"""))
+def context_performance(spark, d):
+    return _leg(spark, d, "performance")
+
+
+@query(_CONTEXT_SQL.format("""
+    select x.member from li semi join (select distinct p_size, l_suppkey from li where l_returnflag = 'N') a on li.p_size = a.p_size and li.l_suppkey = a.l_suppkey,
+    lateral (select 'claim:' || li.p_size as member union all select 'evidence:' || s || ':' || b from (select distinct part.p_size as s, part.p_brand as b from part) where s = li.p_size) x"""))
+def context_claims(spark, d):
+    return _leg(spark, d, "claim")
+
+
+@query("select event_id, event_type from events")
 def streaming_dedup(spark, d):
-    """Events with one in twenty sent twice, through a watermarked stream; rows only."""
-    from ..streaming.ingest import dedup_stream
+    """Events with one in twenty sent twice, through a watermarked stream into a table."""
+    from ..sources.io import shared_folder
+    from ..streaming.ingest import dedup_stream, to_table
 
-    name = f"dedup_{abs(hash(d)) % 10**8}"
+    place = f"{shared_folder(spark)}/dedup-{uuid.uuid4().hex}"
     events = spark.readStream.schema(_t(spark, d, "events").schema).option("pathGlobFilter", "*.parquet").parquet(d + "/events.parquet*")
     twice = events.withColumn("copy", F.explode(F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    stream = dedup_stream(twice, "event_id", "ts", "3650 days")
-    stream.select("event_id", "event_type").writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start().awaitTermination(300)
-    return spark.table(name)
+    stream = dedup_stream(twice, "event_id", "ts", "3650 days").select("event_id", "event_type")
+    return to_table(stream, f"{place}/events", f"{place}/state")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir; a folder of its own for a session on one machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return found or tempfile.mkdtemp(prefix="tesserae-")
+
+
 def with_line_ordinal(lines: DataFrame, name: str = "paper_ord") -> DataFrame:
     """The 0-based ordinal of each line of a text source, in path and file order.
 
