@@ -112,6 +112,31 @@ def unpivot(spark, d):
     return seen.groupBy("ontology_type", F.col("canonical").alias("term")).agg(F.count("*").alias("n"))
 
 
+_SCALARS = {
+    "reaction_domain": "p_brand", "reaction_class": "p_type", "procedure_type": "p_type", "step_type": "p_brand", "sample_state": "p_size", "method_family": "p_brand", "dataset_type": "p_type",
+    "property_name": "p_brand", "target_species": "p_type", "basis": "p_size", "catalyst_state": "p_brand", "claim_type": "p_type", "evidence_type": "p_brand",
+}
+_LISTS = {"reaction_family": "p_name", "material_platform": "p_type", "active_site_form": "p_brand", "morphology_device_form": "p_name", "form_factor": "p_size", "design_mechanism_tag": "p_name"}
+
+
+@query(
+    "with v as ("
+    + " union all ".join([f"select '{k}' as t, {c}::varchar as raw from part" for k, c in _SCALARS.items()] + [f"select '{k}', unnest(string_split({c}::varchar, ' ')) from part" for k, c in _LISTS.items()])
+    + ") select t as ontology_type, replace(lower(trim(raw)), ' ', '_') as term, count(*)::bigint as n from v where trim(raw) <> '' group by 1, 2"
+)
+def mapped_terms(spark, d):
+    """All mappings of the vocabulary, over nodes whose fields are the parts' columns."""
+    nodes: dict[str, DataFrame] = {}
+    for kind in dict.fromkeys(m[0] for m in ontology.MAPPINGS):
+        fields = []
+        for _, name, term, _ in [m for m in ontology.MAPPINGS if m[0] == kind]:
+            value = F.col((_SCALARS | _LISTS)[term]).cast("string")
+            fields.append((F.split(value, " ") if name.endswith("[]") else value).alias(name.removesuffix("[]")))
+        nodes[kind] = _part_nodes(spark, d, *fields)
+    seen = ontology.term_occurrences(nodes)
+    return seen.groupBy("ontology_type", F.col("canonical").alias("term")).agg(F.count("*").alias("n"))
+
+
 def order_papers(spark: SparkSession, d: str) -> DataFrame:
     """Orders as nested documents: their parts as catalysts, suppliers as reactions, items as procedures and metrics."""
     item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "p_brand", "p_type", "p_name")
