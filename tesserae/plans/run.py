@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import instance, normalize, readmodel, stats
 from ..sources import io
 from ..sources.schema import CATALYST_RESULT, REACTION_RESULT
-from .build import Graph, build_graph
+from .build import Graph, build_graph, staged
 
 
 @dataclass
@@ -83,7 +83,7 @@ def run(
 ) -> dict:
     """Builds and writes everything under ``options.output``; returns the statistics.
 
-    The documents are staged as Parquet, the graph is written once, and the read models and
+    The documents and their instance layer are staged as Parquet, the graph is written once, and the read models and
     statistics read it from there.  A second run goes on where normalisation stopped.
     """
     out = options.output.rstrip("/")
@@ -91,7 +91,7 @@ def run(
         papers = io.read_papers(spark, options.input)
         io.check_required(papers)
         papers = io.stage_papers(papers, f"{out}/papers", options.partitions)
-        layer = instance.build_instance_layer(papers)
+        layer = staged(instance.build_instance_layer(papers), f"{out}/layer")
         rq, cq = io.reaction_queue(layer.nodes["Reaction"]), io.catalyst_queue(layer.nodes["Catalyst"])
         rq.write.mode("overwrite").json(f"{out}/reaction_queue")
         cq.write.mode("overwrite").json(f"{out}/catalyst_queue")
@@ -103,7 +103,7 @@ def run(
             mapping.write.mode("overwrite").json(f"{out}/family_map")
             merged.write.mode("overwrite").parquet(f"{out}/catalyst_results_merged")  # the first pass stays as it is
             cr = spark.read.parquet(f"{out}/catalyst_results_merged")
-        made = build_graph(papers, rr, cr, strict_parity=options.strict_parity)
+        made = build_graph(papers, rr, cr, strict_parity=options.strict_parity, layer=layer)
         io.write_graph(made.nodes, made.edges, f"{out}/graph")
     nodes, edges = io.read_graph(spark, f"{out}/graph")
     graph = Graph(nodes, edges, {})
