@@ -73,6 +73,14 @@ def first_case(cases: list[tuple[Column, Column | str]], otherwise: Column | str
     return out.otherwise(lit(otherwise))
 
 
+def escape_html(x: Column | str) -> Column:
+    """A text for a page: ampersands, angle brackets and double quotes as entities; null as an empty text."""
+    out = text_or_empty(x)
+    for c, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        out = F.replace(out, F.lit(c), F.lit(entity))
+    return out
+
+
 def two_decimals(x: Column) -> Column:
     """A non-negative double to two decimals, rounded by its exact binary value, exact ties to even.
 

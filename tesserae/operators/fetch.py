@@ -163,10 +163,13 @@ def report(made: dict) -> str:
 
 
 class SearchSource(DataSource):
-    """``spark.read.format("paged_search")``: a paged search, one partition a page.
+    """``spark.read.format("paged_search")``: a paged search.
 
     Options: query, limit (20), page (100), fetcher (``module:function``, called with query, offset and
-    size, gives a list of JSON objects).
+    size, gives a list of JSON objects or an object with ``data`` and ``total``), parallel (false), pause
+    (seconds between pages, 0).  Pages are asked for one after the other until there are ``limit`` results, a
+    page is empty or fails, or the service's total is reached; with ``parallel`` each page is a partition, all
+    pages up to the limit are asked for, and a failure raises.
     """
 
     @classmethod
@@ -184,9 +187,12 @@ class _SearchReader(DataSourceReader):
     def __init__(self, options: dict):
         self.query, self.fetcher = options["query"], options["fetcher"]
         self.limit, self.page = int(options.get("limit", 20)), int(options.get("page", 100))
+        self.parallel, self.pause = options.get("parallel", "false") == "true", float(options.get("pause", 0))
 
     def partitions(self) -> list[InputPartition]:
         size = min(self.limit, self.page)
+        if not self.parallel:
+            return [InputPartition((0, size))]
         return [InputPartition((at, min(size, self.limit - at))) for at in range(0, self.limit, max(size, 1))]
 
     def read(self, partition: InputPartition):
@@ -194,9 +200,29 @@ class _SearchReader(DataSourceReader):
         import json
 
         module, _, name = self.fetcher.partition(":")
-        at, size = partition.value
-        for n, row in enumerate(getattr(importlib.import_module(module), name)(self.query, at, size)[:size]):
-            yield at + n, json.dumps(row)
+        fetch, (at, size) = getattr(importlib.import_module(module), name), partition.value
+        if self.parallel:
+            for n, row in enumerate(_page(fetch(self.query, at, size))[0][:size]):
+                yield at + n, json.dumps(row)
+            return
+        n = 0
+        while n < self.limit:
+            try:
+                rows, total = _page(fetch(self.query, at, size))
+            except Exception:  # what came so far counts
+                return
+            for row in rows[: self.limit - n]:
+                yield n, json.dumps(row)
+                n += 1
+            at += size
+            if not rows or (total is not None and total <= at):
+                return
+            time.sleep(self.pause)
+
+
+def _page(answer: list | dict) -> tuple[list, int | None]:
+    """The results of an answer and the total, if it tells one."""
+    return (answer.get("data") or [], answer.get("total", 0)) if isinstance(answer, dict) else (answer, None)
 
 
 def search(spark: SparkSession, query: str, fetcher: str, limit: int = 20, page: int = 100) -> DataFrame:

@@ -114,6 +114,16 @@ def type_breakdown(edges: DataFrame, types: list[str] = LIKELY) -> DataFrame:
     return out.withColumn("percent", F.col("n") * 100.0 / F.max("n").over(Window.partitionBy()))
 
 
+def of_types(rows: DataFrame, text: str, column: str = "edge_type") -> DataFrame:
+    """Rows whose type contains a text, without regard to case; an empty text takes all."""
+    return rows.where(F.contains(F.lower(column), F.lit(text.lower()))) if text else rows
+
+
+def cross_paper(edges: DataFrame) -> DataFrame:
+    """Edges that more than one document witnesses."""
+    return edges.where("witness_paper_count > 1")
+
+
 def top_edge_types(edges: DataFrame, n: int = 20) -> DataFrame:
     return edges.groupBy("edge_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "edge_type").limit(n)
 

@@ -532,6 +532,24 @@ def keyset_page(spark, d):
     return readmodel.page_after(_t(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", 100, 25)
 
 
+@query("select doc_id, replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') as escaped from documents")
+def escaped_text(spark, d):
+    return _t(spark, d, "documents").select("doc_id", text.escape_html("text").alias("escaped"))
+
+
+@query("select event_id, event_type from events where contains(lower(event_type), 'si')")
+def type_filter(spark, d):
+    return readmodel.of_types(_t(spark, d, "events"), "SI", "event_type").select("event_id", "event_type")
+
+
+@query("""
+select p_brand as source, p_type as target, count(distinct l_orderkey)::bigint as witness_paper_count from lineitem join part on l_partkey = p_partkey group by 1, 2 having count(distinct l_orderkey) > 1""")
+def cross_paper(spark, d):
+    tags = order_tags(spark, d).where("type in ('brand', 'type')")
+    out = bridge.pair_up(tags, [("brand", "type", "LIKELY_USES")], witnesses=False)
+    return readmodel.cross_paper(out).select("source", "target", "witness_paper_count")
+
+
 @query("""
 with s as (select case event_type when 'purchase' then 'success' when 'error' then 'failed' when 'view' then 'skipped_exists' else 'pending' end as s from events)
 select count(*)::bigint as total, count(*) filter (s = 'success')::bigint as downloaded, count(*) filter (s = 'failed')::bigint as failed, count(*) filter (s like 'skipped%')::bigint as skipped from s""")

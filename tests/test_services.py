@@ -13,6 +13,12 @@ def fetch_page(query, offset, size):
     return [{"paperId": str(i), "externalIds": {"DOI": f"10.1/{i}"}, "title": query, "authors": [{"name": "A B"}]} for i in range(offset, min(total, offset + size))]
 
 
+def fetch_with_total(query, offset, size):
+    if query == "fails" and offset:
+        raise OSError("down")
+    return {"data": fetch_page(query, offset, size) if query != "short" or not offset else [], "total": 12 if query == "total" else 99}
+
+
 def failing(rows):
     if any(r["uid"] == "r3" for r in rows):
         raise RuntimeError("down")
@@ -63,6 +69,50 @@ def test_paged_search(spark):
     assert [r["doi"] for r in out.collect()] == [f"10.1/{i}" for i in range(22)]
 
 
+def test_paging_stops(spark):
+    place = f"{__name__}:fetch_with_total"
+    for query, n in (("all", 25), ("fails", 10), ("short", 10), ("total", 20)):  # the last page's results all count
+        assert fetch.search(spark, query, place, limit=40, page=10).count() == n
+    rows = spark.read.format("paged_search").options(query="q", fetcher=f"{__name__}:fetch_page", limit="25", page="10", parallel="true").load()
+    assert sorted(r["place"] for r in rows.collect()) == list(range(25))
+
+
+def test_resume_commits_each_group(spark, tmp_path):
+    import pytest
+
+    queue = spark.createDataFrame([(f"r{i}", f"n{i}") for i in range(40)], "uid string, name string")
+    schema = "uid string, canonical_reaction_name string, canonical_reaction_aliases array<string>, status string"
+    steps = []
+
+    def step(rest):
+        steps.append(rest.count())
+        if len(steps) == 3:
+            raise RuntimeError("crash")
+        return normalize.normalize_reactions(rest, lambda rows: [{"uid": r["uid"], "canonical_reaction_name": "n"} for r in rows], normalize.Options(batch=5, concurrency=1))
+
+    with pytest.raises(RuntimeError):
+        normalize.resume(queue, str(tmp_path / "done"), step, schema, flush=10)
+    kept = spark.read.parquet(str(tmp_path / "done")).count()
+    assert kept == sum(steps[:2]) > 0  # what was answered before the crash is there
+    assert normalize.resume(queue, str(tmp_path / "done"), step, schema, flush=10).count() == 40 and sum(steps[3:]) == 40 - kept
+
+
+def test_neighbours_across_ranges(spark):
+    df = spark.createDataFrame([(i * 7 % 50, f"n{i % 3}") for i in range(50)], "k int, name string")
+    order = sorted((r["name"], r["k"]) for r in df.collect())
+    for ranges in (1, 4, 60):
+        got = {r["k"]: (r["previous"], r["next"]) for r in readmodel.neighbours(df, ["name", "k"], "k", ranges).collect()}
+        keys = [k for _, k in order]
+        assert got == {k: (keys[i - 1] if i else None, keys[i + 1] if i < 49 else None) for i, k in enumerate(keys)}
+
+
+def test_places_of_streamed_lines(spark, tmp_path):
+    rows = [(5, "a", 0, 1), (5, "a", 0, 2), (5, "a", 64, 3), (5, "b", 0, 4), (6, "a", 0, 5)]
+    batch = spark.createDataFrame(rows[::-1], "paper_ord long, __file string, __block long, n int").repartition(3, "__file", "__block").sortWithinPartitions("__file", "__block", "n")
+    got = ingest.placed(batch).orderBy("paper_ord").collect()
+    assert [r["n"] for r in got] == [1, 2, 3, 4, 5] and [r["paper_ord"] for r in got] == [5000000, 5000001, 5000002, 5000003, 6000000]
+
+
 def test_doi_fallback_and_state(spark):
     dois = spark.createDataFrame([(i, d) for i, d in enumerate(["d1", "d2", "d3"])], "ord int, doi string")
     primary = spark.createDataFrame([("d1", json.dumps({"paperId": "1", "title": "T One", "year": 2001, "authors": [{"name": "Ann Lee"}]}))], "doi string, body string")
