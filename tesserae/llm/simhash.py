@@ -123,7 +123,7 @@ def links(fps: DataFrame, bits: int = 2, dense: int = DENSE, segments: int = 2)
     if bits != 2:
         raise ValueError("the keys serve a bound of two bits")
     spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a row becomes 66 and more
-    keyed = segment_keys(fps.repartition(spread, "fp"), segments)
+    keyed = segment_keys(fps.repartition(spread, F.xxhash64("fp")), segments)
     shared = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))  # partial counts, so no task gathers a hot key
     keyed = cut(keyed.join(shared, "key"))
     few = keyed.where(F.col("n") <= dense)
