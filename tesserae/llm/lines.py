@@ -151,7 +151,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     both = docs.join(gone.withColumnRenamed("doc", "__doc"), F.col(id_col) == F.col("__doc"), "left")
     both = both.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split(F.col(f"`{text_col}`"), "\n")))
     left = F.expr("array_join(transform(array_except(sequence(0, size(__lines) - 1), __gone), i -> __lines[i]), '\\n')")
-    out = both.withColumn("__new", F.when(F.col("__gone").isNotNull(), left))
+    # a list of one, taken apart: the text is made once, however often it is used below
+    out = both.select("*", F.explode(F.array(F.when(F.col("__gone").isNotNull(), left))).alias("__new"))
     out = out.where("__new is null or trim(regexp_replace(__new, '\\\\s+', ' ')) <> ''")
     names = [c for c in docs.columns]
     made = {text_col: F.coalesce("__new", F.col(f"`{text_col}`"))}
