@@ -32,7 +32,7 @@ from .common import load, slices
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # read by the driver only
 NBEST = 2
-CACHE = 180_000  # parts in each of the two generations that a task keeps (about 100 MB each)
+CACHE = 150_000  # parts in each of the two generations that a task keeps (about 100 MB each)
 LONGEST = 48  # characters of a part that is kept
 WIDTHS = (4, 6, 7, 8, 9, 10, 11, 12, 14, 16, 20, 28)  # parts of similar length share arrays
 BYTE_PENALTY = 10.0
