@@ -112,8 +112,8 @@ class PieceTable:
 
 
 class Segmenter:
-    def __init__(self, vocab: Vocabulary, nbest: int = NBEST):
-        self.vocab, self.nbest = vocab, nbest
+    def __init__(self, vocab: Vocabulary, nbest: int = NBEST, cache: int = CACHE):
+        self.vocab, self.nbest, self.cache = vocab, nbest, cache
         self.pieces = {vocab.names[i]: (vocab.scores[i], i) for i in vocab.normal}
         self.longest = max(map(len, self.pieces), default=1)
         # pieces that a model marks as never to be used have a score beyond all others'
@@ -309,7 +309,7 @@ class Segmenter:
         """Searches the parts of some texts that are not kept yet, all at once."""
         if self.table.rest:
             return
-        if len(self.kept) >= CACHE:
+        if len(self.kept) >= self.cache:
             self.before, self.kept = self.kept, {}
         kept, before, new = self.kept, self.before, set()
         for parts in texts:
@@ -334,7 +334,7 @@ class Segmenter:
             found = [self._fallback(SPACE)] if part is LITERAL else self.search(part, self.nbest)
             got = self.entry(found)
         if len(part) <= LONGEST:
-            if len(self.kept) >= CACHE:
+            if len(self.kept) >= self.cache:
                 self.before, self.kept = self.kept, {}
             self.kept[part] = got
         return got
@@ -397,23 +397,24 @@ class Segmenter:
 _built: dict[tuple, Segmenter] = {}
 
 
-def segmenter(vocab: Vocabulary, nbest: int) -> Segmenter:
+def segmenter(vocab: Vocabulary, nbest: int, cache: int = CACHE) -> Segmenter:
     """The worker's own segmenter.  What it keeps of a task's parts goes with the task: a worker outlives its tasks."""
-    key = (hash(vocab), nbest)
+    key = (hash(vocab), nbest, cache)
     if key not in _built:
         _built.clear()
-        _built[key] = Segmenter(vocab, nbest)
+        _built[key] = Segmenter(vocab, nbest, cache)
     return _built[key]
 
 
-def encode_documents(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text", nbest: int = NBEST) -> DataFrame:
+def encode_documents(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text", nbest: int = NBEST, cache: int = CACHE) -> DataFrame:
     """(id, ids array<int>, n_pieces, scores array<double>, others array<array<int>>, round_trip) for every row.
 
     ``scores`` are those of the N best segmentations of the whole text, fewer if it has fewer; ``ids`` is the best
     one and ``others`` holds the next ones.  ``round_trip`` tells whether decoding ``ids`` gives the text back; where the others
     differ from them they spell the same, or an error is raised.
     An empty text is the space mark alone; a null text has no pieces, no scores and a null round_trip.  Ties go
-    to one of the equals.  Other columns are not read.
+    to one of the equals.  ``cache`` bounds the parts that a task keeps in each of two generations; it changes memory and
+    time, not the result.  Other columns are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -440,7 +441,7 @@ def encode_documents(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id",
         return pa.RecordBatch.from_arrays(columns, names=["id", "ids", "n_pieces", "scores", "others", "round_trip"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = segmenter(vocab, nbest)
+        own = segmenter(vocab, nbest, cache)
         gc.disable()  # millions of small tuples without cycles
         try:
             for part in slices(batches):
