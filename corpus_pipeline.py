@@ -11,6 +11,7 @@ from tesserae.llm import decontam, langid, lines, pieces, simhash
 from tesserae.llm.common import load, shared_dir
 
 KEEP: list[str] = []  # languages that stay; empty: every learned one
+KEPT_PARTS = 60_000  # by a task of the last stage in each generation; executors hold memory of the earlier stages
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -46,7 +47,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every text by the two best segmentations, with the proof of the round trip; null texts have none."""
-    return pieces.encode_documents(docs, pieces.Vocabulary.read(pieces.MODEL))
+    return pieces.encode_documents(docs, pieces.Vocabulary.read(pieces.MODEL), cache=KEPT_PARTS)
 
 
 STAGES = [
