@@ -34,6 +34,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # read by the driver only
 NBEST = 2
 CACHE = 150_000  # parts in each of the two generations that a task keeps (about 100 MB each)
 LONGEST = 48  # characters of a part that is kept
+ARRAY = 98_304  # characters that are searched at a time
+FEW = 1024  # parts that are worth arrays of their own
 WIDTHS = (4, 6, 7, 8, 9, 10, 11, 12, 14, 16, 20, 28)  # parts of similar length share arrays
 BYTE_PENALTY = 10.0
 LITERAL = (SPACE,)  # the part that stands for a space mark in the text itself; no string equals it
@@ -76,13 +78,14 @@ class PieceTable:
 
     FACTOR = np.uint64(0x9E3779B97F4A7C15)
     BITS = (18, 16, 14)  # three levels; a key that finds its slot taken goes one level down
+    SEEN = 20  # leading bits of the hashes that are marked
 
     def __init__(self, pieces: dict[str, tuple[float, int]]):
         names = list(pieces)
         keys = np.array([self.hash(n) for n in names], np.uint64)
         if len(set(keys.tolist())) < len(keys):
             raise ValueError("two pieces share a hash")
-        self.levels, left = [], np.arange(len(keys))
+        self.levels, left, all_keys = [], np.arange(len(keys)), keys
         for bits in self.BITS:
             slot = (keys[left] >> np.uint64(64 - bits)).astype(np.int64)
             _, first = np.unique(slot, return_index=True)
@@ -91,6 +94,8 @@ class PieceTable:
             self.levels.append((np.uint64(64 - bits), table, index))
             left, keys = np.delete(left, first), keys * self.FACTOR
         self.rest = {n: pieces[n] for n in (names[i] for i in left)}  # none, as a rule
+        self.seen = np.zeros(1 << self.SEEN, bool)
+        self.seen[(all_keys >> np.uint64(64 - self.SEEN)).astype(np.int64)] = True
         self.ids = np.array([pieces[n][1] for n in names] + [-1], np.int32)
 
     @classmethod
@@ -100,6 +105,10 @@ class PieceTable:
             h = (h * 0x100000001B3 + ord(c) + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
         return h
 
+    def maybe(self, h: np.ndarray) -> np.ndarray:
+        """Whether a hash can be a piece's: true for all of those and for few others."""
+        return self.seen[h >> np.uint64(64 - self.SEEN)]
+
     def find(self, h: np.ndarray) -> np.ndarray:
         """The place of each hash's piece, or -1."""
         out, key = None, h
@@ -195,9 +204,13 @@ class Segmenter:
         """The entries (see entry()) of many parts of LONGEST characters at most: search(), a step of all parts at a time in arrays."""
         out: list = [()] * len(parts)
         lengths = np.array([len(p) for p in parts])
-        for low, high in zip((0, *(w + 1 for w in WIDTHS)), (*WIDTHS, LONGEST), strict=True):
+        low = 0
+        for high in (*WIDTHS, LONGEST):
             where = np.flatnonzero((lengths >= low) & (lengths <= high))
-            rows = 98_304 // high
+            if len(where) < FEW and high < LONGEST:
+                continue  # too few for arrays of their own: they join the next longer ones
+            low = high + 1
+            rows = ARRAY // high
             for lo in range(0, len(where), rows):
                 some = where[lo : lo + rows]
                 for i, found in zip(some.tolist(), self._search_all([parts[i] for i in some], lengths[some], high, n), strict=True):
@@ -209,23 +222,24 @@ class Segmenter:
         n, longest, table = len(own), min(width, self.longest), self.table
         cps = np.array(own, f"<U{width}").view(np.uint32).reshape(n, width).T
         arcs = np.full((width + 1, longest, n), -1, np.int32)
-        best = np.full((width + 1, n), -np.inf)
-        best[0] = 0
         keys = cps.astype(np.uint64) + np.uint64(1)
-        for start in range(width):
-            h = np.zeros(n, np.uint64)
-            for end in range(start + 1, min(width, start + longest) + 1):
-                h = (h * np.uint64(0x100000001B3) + keys[end - 1]) * table.FACTOR
-                at = table.find(h)
-                if end == start + 1:  # a character without a piece of its own gets its bytes
-                    size = 1 + (cps[start] >= 0x80) + (cps[start] >= 0x800) + (cps[start] >= 0x10000)
-                    at = np.where((at < 0) & (start < lengths), len(self.pieces) + size - 1, at)
-                hit = np.flatnonzero(at >= 0)
-                if not len(hit):
-                    continue
-                got = at[hit]
-                arcs[end, end - start - 1, hit] = got
-                best[end, hit] = np.maximum(best[end, hit], best[start, hit] + self.arc_scores[got])
+        h = np.zeros((width, n), np.uint64)
+        for size in range(1, longest + 1):  # the substrings of one length from all starts at a time
+            h = (h[: width - size + 1] * np.uint64(0x100000001B3) + keys[size - 1 :]) * table.FACTOR
+            if size == 1:  # a character without a piece of its own gets its bytes
+                at = table.find(h.reshape(-1)).reshape(h.shape)
+                spelled = len(self.pieces) + (cps >= 0x80) + (cps >= 0x800) + (cps >= 0x10000)
+                arcs[1:, 0] = np.where((at < 0) & (np.arange(width)[:, None] < lengths), spelled, at)
+                continue
+            places = np.flatnonzero(table.maybe(h))
+            at = table.find(h.reshape(-1)[places])
+            places, at = places[at >= 0], at[at >= 0]
+            arcs[places // n + size, size - 1, places % n] = at
+        best = np.empty((width + 1, n))
+        best[0] = 0
+        for end in range(1, width + 1):
+            m = min(end, longest)
+            best[end] = (best[end - m : end][::-1] + self.arc_scores[arcs[end, :m]]).max(axis=0)
         return arcs, best
 
     def _search_all(self, own: list[str], lengths: np.ndarray, width: int, n: int) -> list[tuple]:

@@ -212,7 +212,9 @@ def test_nbest_against_all_paths():
             assert is_nbest(seg.best(text), want, n)
 
 
-def test_array_search_equals_queue():
+@pytest.mark.parametrize("few", [1, 1024])
+def test_array_search_equals_queue(monkeypatch, few):
+    monkeypatch.setattr(pieces, "FEW", few)
     rng = random.Random(5)
     for n in (1, 2, 4):
         seg = pieces.Segmenter(toy(), n)
