@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +74,23 @@ def unsigned32(c: Column) -> Column:
 def text_crc32(text: Column) -> Column:
     """Unsigned CRC-32 of the UTF-8 bytes; null counts as no bytes."""
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def bounded(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts whose texts in ``column`` hold up to ``size`` bytes together, or of one row with a longer text."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < b.num_rows:
+            base = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
+            yield b.slice(at, to - at)
+            at = to
+        del b
+    pa.default_memory_pool().release_unused()
+
+
+def small(df: DataFrame, rows: int = 300_000) -> DataFrame:
+    """A frame with its lineage cut, marked for broadcast if it has up to ``rows`` rows; larger ones are left to a shuffle."""
+    df = cut(df)
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, jpeg, langid, lines, pieces, quality, secrets, sharding, simhash, urls
+from . import codes, decontam, jpeg, langid, lines, packing, pieces, quality, resampling, secrets, sharding, simhash, urls
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +17,9 @@ QUERIES = {
         simhash.op8_simhash_near_dedup,
         sharding.op9_two_pass_shuffle,
         decontam.op10_pigeonhole_decontamination,
+        resampling.op11_importance_resampling,
+        codes.op12_vector_codes,
+        packing.op13_best_fit_packing,
     )
 }
-ORACLES = {"op3_url_filter": urls.ORACLE, "op5_secret_ledger": secrets.ORACLE}
+ORACLES = {"op3_url_filter": urls.ORACLE, "op5_secret_ledger": secrets.ORACLE, "op11_importance_resampling": resampling.ORACLE, "op12_vector_codes": codes.ORACLE}
