@@ -833,3 +833,6 @@ def streaming_dedup(spark, d):
     twice = events.withColumn("copy", F.explode(F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     stream = dedup_stream(twice, "event_id", "ts", "3650 days").select("event_id", "event_type")
     return to_table(stream, f"{place}/events", f"{place}/state")
+
+
+from . import patterns  # noqa: E402, F401  (registers its queries here)

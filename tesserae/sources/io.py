@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +22,23 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, spark.checkpoint.dir; a folder of its own for a session on one machine."""
+    """The folder that driver and executors share, spark.checkpoint.dir; one folder of its own for a session on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found and not spark.sparkContext.master.startswith("local"):
+    if found:
+        return found
+    sc = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return found or tempfile.mkdtemp(prefix="tesserae-")
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tesserae-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame with its lineage cut: a table in the shared folder, read back."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def with_line_ordinal(lines: DataFrame, name: str = "paper_ord") -> DataFrame:
