@@ -48,7 +48,7 @@ def reduced(relations: dict[str, DataFrame], root: str | None = None) -> dict[st
     now[top] = staged(now[top], f"motif-{top}")
     for name, parent, shared in reversed(tree):
         now[name] = staged(now[name].join(now[parent].select(*shared), shared, "left_semi"), f"motif-{name}")
-    return now
+    return {n: now[n].select(*r.columns) for n, r in relations.items()}
 
 
 def matches(relations: dict[str, DataFrame], root: str | None = None, heavy: int = HEAVY) -> DataFrame:
