@@ -1,11 +1,12 @@
 """Substring search by an index of trigrams.
 
-Documents get consecutive places; a block is a range of them.  Each different trigram of a document's small-lettered text
-is a posting, and a block's postings of one trigram are a list of the gaps between places, so a list holds at most a
-block and common trigrams have many lists instead of long ones.  The lists lie on shelves by a hash of the trigram, sorted by trigram.
+Rows are stored once, a folder for each task that wrote them, and a block is a range of a task's rows.  Each different
+trigram of a row's small-lettered text is a posting, and a block's postings of one trigram are a list of the gaps
+between places, so a list holds at most a block and common trigrams have many lists instead of long ones.  The lists lie
+on shelves by a hash of the trigram, sorted by trigram.
 
 A search reads the lists of the rarest trigrams of its text alone, intersects them block by block, and verifies what is
-left on the stored texts of the blocks that have candidates.  A text of fewer than three characters scans the stored texts.
+left on the stored rows of the tasks that have candidates.  A text of fewer than three characters scans the stored texts.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCK = 1 << 14  # places of a block
+BLOCK = 1 << 14  # rows of a block; a place in it has 15 bits at most
+TASK = 1 << 33  # rows of a task have ids below this
 SHELVES = 64
-RAREST = 4  # lists that are intersected
-LISTED = 1 << 17  # trigrams of documents that a worker holds, beyond one document's
+FOLDERS = 1000  # folders that a search names; beyond, all are listed
+RAREST = 4  # trigrams whose lists that are intersected
+LISTED = 1 << 21  # postings that a worker holds, beyond one row's (some 60 MB)
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -43,7 +46,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
         gaps = np.diff(places, prepend=0)
         gaps[starts] = places[starts]
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(grams)), pa.int32()), pa.array(gaps, pa.int32()))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(grams)), pa.int32()), pa.array(gaps, pa.int16()))
         return pa.RecordBatch.from_arrays([pa.array(grams[starts]), pa.array([block] * len(starts), pa.int64()), lists], names=["gram", "block", "gaps"])
 
     found, held, now = [], 0, None
@@ -74,35 +77,26 @@ class SearchIndex:
 
     @staticmethod
     def build(df: DataFrame, column: str, path: str) -> SearchIndex:
-        """Indexes a column of ``df`` and stores all its columns beside it.
-
-        Places follow the tasks' numbers and the rows' places in them, which a count for each task gives; the rows are
-        written once with their place in the task, so that a later read finds the same.  Null texts have no trigrams.
-        """
+        """Indexes a column of ``df`` and stores all its columns beside it.  Null texts have no trigrams."""
         spark = df.sparkSession
-        raw = f"{path}/raw"
-        df.select("*", F.spark_partition_id().alias("__task"), F.monotonically_increasing_id().alias("__m")).write.parquet(raw)
-        rows = spark.read.parquet(raw)
-        tasks = rows.groupBy("__task").agg(F.count("*").alias("__n"), F.min("__m").alias("__lo"))
-        first = tasks.selectExpr("__task", "__lo", "sum(__n) over (order by __task) - __n as __first")  # a row for each task
-        rows = rows.join(F.broadcast(first), "__task").withColumn("__place", F.col("__first") + F.col("__m") - F.col("__lo")).drop("__task", "__m", "__lo", "__first")
-        rows = rows.withColumn("__block", F.floor(F.col("__place") / BLOCK))
-        rows.write.partitionBy("__block").parquet(f"{path}/rows")
-        made = rows.select("__place", F.lower(F.col(f"`{column}`").cast("string")).alias("text")).mapInArrow(_postings, "gram long, block long, gaps array<int>")
-        made = made.withColumn("shelf", F.pmod(F.xxhash64("gram"), F.lit(SHELVES)).cast("int")).withColumn("n", F.size("gaps"))
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit(TASK - 1))
+        df.select("*", F.spark_partition_id().alias("__task"), place.alias("__place")).write.partitionBy("__task").parquet(f"{path}/rows")
+        index = SearchIndex(spark, path, column)
+        made = index.rows().select(F.col("__row"), F.lower(F.col(f"`{column}`").cast("string")).alias("text")).mapInArrow(_postings, "gram long, block long, gaps array<short>")
+        made = made.withColumn("shelf", F.pmod(F.xxhash64("gram"), F.lit(SHELVES)).cast("int"))
         # lists of common trigrams are spread over the files of a shelf by their block
         spread = F.pmod(F.xxhash64("block"), F.lit(4))
-        made.repartition(SHELVES * 4, "shelf", spread).sortWithinPartitions("shelf", "gram", "block").write.partitionBy("shelf").parquet(f"{path}/lists")
-        lists = spark.read.parquet(f"{path}/lists")
-        lists.groupBy("shelf", "gram").agg(F.sum("n").alias("n")).write.partitionBy("shelf").parquet(f"{path}/lexicon")
-        return SearchIndex(spark, path, column)
+        made = made.repartition(SHELVES * 4, "shelf", spread).sortWithinPartitions("shelf", "gram", "block")
+        made.withColumn("n", F.size("gaps")).write.partitionBy("shelf").parquet(f"{path}/lists")
+        index._lists().groupBy("shelf", "gram").agg(F.sum("n").alias("n")).repartition("shelf").sortWithinPartitions("gram").write.partitionBy("shelf").parquet(f"{path}/lexicon")
+        return index
 
-    def _read(self, table: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
+    def _lists(self) -> DataFrame:
+        return self.spark.read.schema("gram long, block long, gaps array<short>, n int, shelf int").parquet(f"{self.path}/lists")
 
     def rows(self) -> DataFrame:
-        found = self.spark.read.parquet(f"{self.path}/rows")
-        return found.withColumn("__block", F.col("__block").cast("long"))
+        """The stored rows with ``__task`` and ``__row``, their place among all rows."""
+        return self.spark.read.parquet(f"{self.path}/rows").withColumn("__row", F.col("__task").cast("long") * TASK + F.col("__place")).drop("__place")
 
     def rarest(self, text: str) -> list[tuple[int, int, int]] | None:
         """(n, trigram, shelf) of the text's rarest trigrams, the rarest first; none if one is nowhere; null for a short text."""
@@ -111,43 +105,41 @@ class SearchIndex:
             return None
         wanted = self.spark.createDataFrame([(int(g),) for g in grams], "gram long").select("gram", F.pmod(F.xxhash64("gram"), F.lit(SHELVES)).cast("int").alias("shelf"))
         shelf = {r["gram"]: r["shelf"] for r in wanted.collect()}
-        known = self._read("lexicon", "gram long, n long, shelf int").where(F.col("shelf").isin(sorted(set(shelf.values()))) & F.col("gram").isin(sorted(shelf)))
+        known = self.spark.read.schema("gram long, n long, shelf int").parquet(f"{self.path}/lexicon").where(F.col("shelf").isin(sorted(set(shelf.values()))) & F.col("gram").isin(sorted(shelf)))
         seen = sorted((r["n"], r["gram"], r["shelf"]) for r in known.collect())
         return seen[:RAREST] if len(seen) == len(grams) else []
 
     def _small(self, text: str) -> str:
         return self.spark.range(1).select(F.lower(F.lit(text))).first()[0]
 
+    def _wanted(self, grams: list[tuple[int, int, int]]) -> DataFrame:
+        return self._lists().where(F.col("shelf").isin(sorted({x for _, _, x in grams})) & F.col("gram").isin([g for _, g, _ in grams]))
+
     def candidates(self, text: str) -> DataFrame | None:
-        """(__block, __place) of the rows that have the text's rarest trigrams; null for a short text."""
+        """(__row) of the rows that have the text's rarest trigrams; null for a short text."""
         grams = self.rarest(text)
         if grams is None:
             return None
-        lists = self._read("lists", "gram long, block long, gaps array<int>, n int, shelf int")
         if not grams:
-            return self.spark.createDataFrame([], "__block long, __place long")
-        lists = lists.where(F.col("shelf").isin(sorted({s for _, _, s in grams})) & F.col("gram").isin([g for _, g, _ in grams]))
-        # a block's lists of a trigram come from one task each, and meet before they are intersected
-        of = lists.select("block", "gram", _places("gaps").alias("places"))
+            return self.spark.createDataFrame([], "__row long")
+        of = self._wanted(grams).select("block", "gram", _places("gaps").alias("places"))
         each = of.groupBy("block").agg(*[F.flatten(F.collect_list(F.when(F.col("gram") == g, F.col("places")))).alias(f"p{i}") for i, (_, g, _) in enumerate(grams)])
-        both = reduce(F.array_intersect, [F.col(f"p{i}") for i in range(len(grams))])
-        return each.select(F.col("block").alias("__block"), F.explode(both).alias("p")).select("__block", (F.col("__block") * BLOCK + F.col("p")).alias("__place"))
+        both = reduce(F.array_intersect, [F.col(f"p{i}") for i in range(len(grams))])  # lists of one block
+        return each.select("block", F.explode(both).alias("p")).select((F.col("block") * BLOCK + F.col("p")).alias("__row"))
 
     def find(self, text: str) -> DataFrame:
         """The stored rows whose text contains ``text``, without regard to case."""
         near, rows = self.candidates(text), self.rows()
         holds = F.contains(F.lower(F.col(f"`{self.column}`").cast("string")), F.lit(self._small(text)))
         if near is not None:
-            blocks = [r[0] for r in near.select("__block").distinct().collect()]  # one number for each block with candidates
-            rows = rows.where(F.col("__block").isin(blocks)) if len(blocks) <= 1000 else rows
-            rows = rows.join(near, ["__block", "__place"], "left_semi")
-        return rows.where(holds).drop("__block", "__place")
+            tasks = [r[0] for r in near.select(F.floor(F.col("__row") / TASK).cast("int")).distinct().limit(FOLDERS + 1).collect()]
+            rows = rows.where(F.col("__task").isin(tasks)) if len(tasks) <= FOLDERS else rows
+            rows = rows.join(near, "__row", "left_semi")
+        return rows.where(holds).drop("__task", "__row")
 
     def cost(self, text: str) -> dict[str, int]:
         """Lists and postings that a search reads, rows that it verifies, and all rows."""
-        near, grams = self.candidates(text), self.rarest(text)
-        every = self.rows().count()
+        near, grams, every = self.candidates(text), self.rarest(text), self.rows().count()
         if near is None:
             return {"lists": 0, "postings": 0, "verified": every, "rows": every}
-        lists = self._read("lists", "gram long, block long, gaps array<int>, n int, shelf int").where(F.col("shelf").isin([s for _, _, s in grams]) & F.col("gram").isin([g for _, g, _ in grams]))
-        return {"lists": lists.count(), "postings": sum(n for n, _, _ in grams), "verified": near.count(), "rows": every}
+        return {"lists": self._wanted(grams).count() if grams else 0, "postings": sum(n for n, _, _ in grams), "verified": near.count(), "rows": every}
