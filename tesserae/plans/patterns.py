@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import bridge, compare, hierarchy, motifs
+from ..operators import bridge, compare, conflicts, hierarchy, motifs, readmodel, sequences
 from ..operators.searchindex import SearchIndex
 from ..sources.io import shared_folder
 from ..streaming import layers
@@ -207,3 +207,45 @@ def hierarchy_rollup(spark, d):
     items = _t(spark, d, "lineitem").groupBy(F.concat(F.lit("part:"), "l_partkey").alias("term")).agg(F.count("*").alias("n"))
     orders = _t(spark, d, "orders").groupBy(F.concat(F.lit("customer:"), "o_custkey").alias("term")).agg(F.count("*").alias("n"))
     return hierarchy.rollup(items.unionByName(orders), hierarchy.closure(_vocabulary(spark, d)))
+
+
+_FLAGS_SQL = """with s as (select l_orderkey as o, l_returnflag || l_linestatus as x, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as k from lineitem),
+f as (select distinct o, [x] as pattern from s union select distinct a.o, [a.x, b.x] from s a join s b on a.o = b.o and a.k < b.k
+  union select distinct a.o, [a.x, b.x, c.x] from s a join s b on a.o = b.o and a.k < b.k join s c on a.o = c.o and b.k < c.k),
+p as (select pattern, count(*)::bigint as support from f group by 1 having count(*) >= 100)
+"""
+
+
+def _flags(spark, d):
+    """Orders as sequences of their items' flags."""
+    rows = readmodel.packed(_t(spark, d, "lineitem"), "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus"], "s")
+    return rows.select(F.col("l_orderkey").alias("id"), F.transform("s", lambda x: F.concat(x["l_returnflag"], x["l_linestatus"])).alias("items"))
+
+
+@query(_FLAGS_SQL + "select array_to_string(pattern, '>') as pattern, support from p")
+def step_patterns(spark, d):
+    patterns, _ = sequences.frequent_patterns(_flags(spark, d), 100, 3)
+    return patterns.select(F.array_join("pattern", ">").alias("pattern"), "support")
+
+
+@query(
+    _FLAGS_SQL
+    + ", r as (select o, pattern, support, row_number() over (partition by o order by len(pattern) desc, support desc, pattern) as k from f join p using (pattern)) select array_to_string(pattern, '>') as pattern, support, count(*)::bigint as instance_count from r where k = 1 group by 1, 2"
+)
+def procedure_templates(spark, d):
+    nodes, _ = sequences.procedure_templates(_flags(spark, d), 100, 3)
+    return nodes.select(F.array_join("pattern", ">").alias("pattern"), "support", "instance_count")
+
+
+@query("""
+with a as (select l_orderkey || ':' || l_linenumber || ':' || l_suppkey as uid, l_partkey as part, floor(l_quantity / 10)::bigint as bin, sign(l_discount - 0.05)::bigint as side, l_orderkey as o, l_linenumber as n, l_suppkey as s from lineitem),
+f as (select part, bin, arg_min(uid, (o, n, s)) filter (side > 0) as positive, arg_min(uid, (o, n, s)) filter (side < 0) as negative, count(*) filter (side > 0)::bigint as np, count(*) filter (side < 0)::bigint as nn from a group by 1, 2)
+select part, bin, uid as source, if(side > 0, negative, positive) as target, if(side > 0, nn, np) as opposed, o as evidence from a join f using (part, bin) where side <> 0 and np > 0 and nn > 0""")
+def conflicting_discounts(spark, d):
+    """Items as assertions about a part at a band of quantities: more or less discount than usual."""
+    i = _t(spark, d, "lineitem")
+    a = i.select(
+        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_suppkey").alias("uid"), F.col("l_partkey").alias("part"), F.floor(F.col("l_quantity") / 10).alias("bin"),
+        F.signum(F.col("l_discount") - 0.05).cast("long").alias("sign"), F.struct("l_orderkey", "l_linenumber", "l_suppkey").alias("ord"), F.col("l_orderkey").alias("evidence"),
+    )
+    return conflicts.conflict_edges(a, ["part", "bin"], evidence="evidence").drop("edge_type")
