@@ -350,9 +350,9 @@ def family_overlap(spark, d):
     return bridge.family_similarity(f).select("source", "target", F.array_join("similarity_basis", ",").alias("basis"))
 
 
-@query("select (a / b)::double as x, printf('%.2f', (a / 8)::double) as y, a::bigint as a, b::bigint as b from range(1, 40) t(a), range(8, 9) u(b)")
+@query("select (a / 8)::double as x, printf('%.2f', (a / 8)::double) as y, a, 8::bigint as b from (select p_size::bigint as a from part)")
 def jac_fmt(spark, d):
-    rows = spark.range(1, 40).withColumnRenamed("id", "a").withColumn("b", F.lit(8).cast("bigint"))
+    rows = _t(spark, d, "part").select(_big("p_size").alias("a"), F.lit(8).cast("bigint").alias("b"))
     return rows.select((F.col("a") / F.col("b")).alias("x"), text.two_decimals(F.col("a") / F.col("b")).alias("y"), "a", "b")
 
 
