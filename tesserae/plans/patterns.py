@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import bridge, compare, conflicts, hierarchy, motifs, readmodel, sequences
+from ..operators import bridge, compare, conflicts, hierarchy, motifs, negatives, readmodel, sequences
 from ..operators.searchindex import SearchIndex
 from ..sources.io import shared_folder
 from ..streaming import layers
@@ -249,3 +249,18 @@ def conflicting_discounts(spark, d):
         F.signum(F.col("l_discount") - 0.05).cast("long").alias("sign"), F.struct("l_orderkey", "l_linenumber", "l_suppkey").alias("ord"), F.col("l_orderkey").alias("evidence"),
     )
     return conflicts.conflict_edges(a, ["part", "bin"], evidence="evidence").drop("edge_type")
+
+
+@query("""
+with i as (select l_partkey as source, l_suppkey as target, year(o_orderdate) < 1998 as early from lineitem join orders on l_orderkey = o_orderkey),
+e as (select source, target, row_number() over (order by source, target) - 1 as place from (select distinct source, target from i where early)),
+d as (select source, target, a as attempt, ('0x' || substr(sha256('7:' || source || ':' || target || ':' || a), 1, 12))::bigint % (select count(*) from e) as place from e, range(4) r(a)),
+n as (select d.source, d.target, d.attempt, e.target as negative from d join e using (place)),
+x as (select * from n where not exists (select 1 from i where i.source = n.source and i.target = n.negative))
+select source, target, arg_min(negative, attempt) as negative, min(attempt)::bigint as attempt from x group by 1, 2""")
+def temporal_negatives(spark, d):
+    """Parts and suppliers that are linked in no year, drawn to match the pairs of the years before 1998."""
+    i = _t(spark, d, "lineitem").join(_t(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").alias("y")), "l_orderkey")
+    i = i.select(F.col("l_partkey").alias("source"), F.col("l_suppkey").alias("target"), "y")
+    out = negatives.hard_negatives(i.where("y < 1998"), known=i)
+    return out.withColumn("attempt", F.col("attempt").cast("bigint"))

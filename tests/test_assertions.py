@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tesserae.operators import conflicts, instance, sequences
+from tesserae.operators import conflicts, instance, negatives, sequences
 from tesserae.sources import files, io
 
 
@@ -86,3 +86,18 @@ def test_failed_write_leaves_no_file(spark, tmp_path):
     with pytest.raises(Exception, match="broken"):
         df.write.format("tesserae_files").mode("append").option("path", str(tmp_path / "out")).save()
     assert not (tmp_path / "out").exists() or list((tmp_path / "out").iterdir()) == []
+
+
+def test_negatives_are_absent_and_matched(spark):
+    rnd = random.Random(2)
+    pairs = [(f"s{rnd.randrange(12)}", f"t{min(int(rnd.expovariate(0.2)), 30)}") for _ in range(150)] + [(None, "t1"), ("s1", None)]
+    later = [(f"s{k}", "t0") for k in range(12)]
+    frame = lambda rows: spark.createDataFrame(rows, "source string, target string")
+    got = negatives.hard_negatives(frame(pairs).repartition(3), known=frame(later)).collect()
+    links = {p for p in pairs if None not in p}
+    assert got and all((r["source"], r["negative"]) not in links | set(later) and (r["source"], r["target"]) in links for r in got)
+    assert len(got) >= 0.8 * len(links) and len({(r["source"], r["target"]) for r in got}) == len(got)
+    assert {tuple(r) for r in got} == {tuple(r) for r in negatives.hard_negatives(frame(pairs[::-1]), known=frame(later)).collect()}  # the seed alone decides
+    assert negatives.hard_negatives(frame([])).count() == 0
+    places = negatives.numbered(spark.range(0, 500, 7), ["id"], ranges=4)
+    assert {r["id"]: r["place"] for r in places.collect()} == {7 * k: k for k in range(72)}
