@@ -264,3 +264,18 @@ def temporal_negatives(spark, d):
     i = i.select(F.col("l_partkey").alias("source"), F.col("l_suppkey").alias("target"), "y")
     out = negatives.hard_negatives(i.where("y < 1998"), known=i)
     return out.withColumn("attempt", F.col("attempt").cast("bigint"))
+
+
+@query("""
+with e as (select event_id, event_type, epoch_us(ts) as t, row_number() over (partition by event_type order by ts, event_id) - 1 as j from events),
+m as (select *, max(t - j * 1200000000) over (partition by event_type order by j rows between unbounded preceding and 1 preceding) as p from e)
+select event_id, event_type, greatest(t, coalesce(j * 1200000000 + p - 2400000000, t))::bigint as release from m""")
+def rate_schedule(spark, d):
+    """Events as requests to their type's service: one in 20 minutes, three at once after a pause, by a stream with state."""
+    from ..streaming.ingest import to_table
+    from ..streaming.rates import scheduled
+
+    place = f"{shared_folder(spark)}/rates-{uuid.uuid4().hex}"
+    events = spark.readStream.schema(_t(spark, d, "events").schema).option("pathGlobFilter", "*.parquet").parquet(d + "/events.parquet*")
+    stream = scheduled(events, "event_type", "event_id", "ts", 1200, 3)
+    return to_table(stream, f"{place}/schedule", f"{place}/state").select("event_id", F.col("service").alias("event_type"), "release")
