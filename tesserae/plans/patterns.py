@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import bridge, compare, conflicts, hierarchy, motifs, negatives, readmodel, sequences
+from ..operators import bins, bridge, compare, conflicts, hierarchy, motifs, negatives, readmodel, sequences
 from ..operators.searchindex import SearchIndex
 from ..sources.io import shared_folder
 from ..streaming import layers
@@ -279,3 +279,14 @@ def rate_schedule(spark, d):
     events = spark.readStream.schema(_t(spark, d, "events").schema).option("pathGlobFilter", "*.parquet").parquet(d + "/events.parquet*")
     stream = scheduled(events, "event_type", "event_id", "ts", 1200, 3)
     return to_table(stream, f"{place}/schedule", f"{place}/state").select("event_id", F.col("service").alias("event_type"), "release")
+
+
+@query("select l_returnflag, count(*)::bigint as n, 10::bigint as bins, true as even from lineitem group by 1")
+def condition_bins(spark, d):
+    """Ten bins of the prices of each flag, from the merged sketches of four shards; even: no bin is off a tenth by over 0.02."""
+    i = _t(spark, d, "lineitem").select("l_returnflag", "l_extendedprice", F.pmod("l_orderkey", F.lit(4)).alias("shard"))
+    whole = bins.merged(bins.sketches(i, ["l_returnflag", "shard"], "l_extendedprice"), ["l_returnflag"])
+    each = bins.binned(i, bins.bin_edges(whole, ["l_returnflag"], 10), ["l_returnflag"], "l_extendedprice").groupBy("l_returnflag", "bin").agg(F.count("*").alias("c"))
+    out = each.groupBy("l_returnflag").agg(F.sum("c").alias("n"), F.count("*").alias("bins"), F.max("c").alias("hi"), F.min("c").alias("lo"))
+    even = (F.col("hi") <= F.col("n") * 0.12) & (F.col("lo") >= F.col("n") * 0.08)
+    return out.select("l_returnflag", "n", "bins", even.alias("even"))

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tesserae.operators import conflicts, instance, negatives, sequences
+from tesserae.operators import bins, conflicts, instance, negatives, sequences
 from tesserae.sources import files, io
 
 
@@ -101,3 +101,22 @@ def test_negatives_are_absent_and_matched(spark):
     assert negatives.hard_negatives(frame([])).count() == 0
     places = negatives.numbered(spark.range(0, 500, 7), ["id"], ranges=4)
     assert {r["id"]: r["place"] for r in places.collect()} == {7 * k: k for k in range(72)}
+
+
+def test_bins_of_merged_sketches(spark):
+    rnd = random.Random(9)
+    values = [rnd.gauss(0, 1) for _ in range(20_000)]
+    rows = [("p", i % 5, v) for i, v in enumerate(values)] + [("q", 0, 1.0)] * 30 + [("q", 1, None), ("q", 1, float("nan")), ("none", 0, None), (None, 0, 2.0)]
+    df = spark.createDataFrame(rows, "property string, shard int, v double")
+    shards = bins.sketches(df, ["property", "shard"], "v")
+    edges = bins.bin_edges(bins.merged(shards, ["property"]), ["property"], 20)
+    got = {r["property"]: r["edges"] for r in edges.collect()}
+    values.sort()
+    for k, e in enumerate(got["p"]):
+        assert abs(sum(v <= e for v in values) / len(values) - (k + 1) / 20) < 0.01  # the stated rank error, some 0.4 %, and a margin
+    whole = {r["property"]: r["edges"] for r in bins.bin_edges(bins.merged(bins.sketches(df, ["property"], "v"), ["property"]), ["property"], 20).collect()}
+    assert all(abs(sum(v <= a for v in values) - sum(v <= b for v in values)) < 0.02 * len(values) for a, b in zip(got["p"], whole["p"], strict=True))
+    assert got["q"] == [1.0] * 19 and "none" not in got
+    thirds = bins.bin_edges(bins.merged(shards, ["property"]), ["property"], 3)
+    named = Counter((r["property"], r["outcome"]) for r in bins.outcome_labels(df, thirds, ["property"], "v").collect())
+    assert named["q", None] == 2 and named["none", None] == 1 and all(abs(named["p", x] / 20_000 - 1 / 3) < 0.01 for x in bins.LABELS)
