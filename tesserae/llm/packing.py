@@ -124,7 +124,7 @@ def cut_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACIT
     """(id, piece, start, length, ids, task, nth): each row's ids and the end id, cut every ``capacity`` tokens; a table.
 
     ``ids`` are little-endian unsigned 32-bit numbers, ``nth`` counts the pieces of one length that the task has cut
-    before.  Null and empty texts are the end id alone.  The tokenizer's file travels with the task.
+    before.  Null and empty texts are the end id alone.  The tokenizer's file must be at the same path wherever tasks run.
     """
     import public_tokenizers
 
