@@ -86,7 +86,7 @@ def packed(rows: DataFrame, by: str, columns: list[str], name: str) -> DataFrame
 
 
 def paper_bundles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(paper_uid, year, doi, nodes, edges) by year and DOI: a document's nodes, and its edges among them and to terms.
+    """(paper_uid, year, doi, nodes, edges) by year, DOI and id: a document's nodes, and its edges among them and to terms.
 
     One document's rows make one list, so the lists are bounded by the largest document.
     """
@@ -99,7 +99,7 @@ def paper_bundles(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     e = e.withColumn("p", F.when(F.col("sp") == F.col("tp"), F.col("sp")).when(F.col("target").startswith("onto:"), F.col("sp")).when(F.col("source").startswith("onto:"), F.col("tp")))
     links = packed(e.where("p is not null").withColumn("paper_uid", F.col("p")), "paper_uid", ["source", "target", "edge_type"], "edges")
     heads = nodes.where("node_type = 'Paper'").select("paper_uid", "doi", "title", "year")
-    return heads.join(listed, "paper_uid", "left").join(links, "paper_uid", "left").orderBy(F.coalesce("year", F.lit(0)), "doi")
+    return heads.join(listed, "paper_uid", "left").join(links, "paper_uid", "left").orderBy(F.coalesce("year", F.lit(0)), "doi", "paper_uid")
 
 
 def type_counts_by_paper(nodes: DataFrame) -> DataFrame:

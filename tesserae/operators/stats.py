@@ -26,7 +26,12 @@ def cluster_stats(clusters: DataFrame, size: str = "instance_count") -> DataFram
 
 
 def graph_stats(nodes: DataFrame, edges: DataFrame) -> dict:
-    """The report of a graph.  Every table that reaches the driver has a row for each type, at most."""
+    """The report of a graph.  Every table that reaches the driver has a row for each type, at most.
+
+    A graph without clusters, whose nodes have no ``instance_count``, reports zeros for them.
+    """
+    if "instance_count" not in nodes.columns:
+        nodes = nodes.withColumn("instance_count", F.lit(None).cast("bigint"))
     as_dict = lambda df, c: {r[c]: r["n"] for r in count_by(df, c).collect()}
     by_node, by_edge = as_dict(nodes, "node_type"), as_dict(edges, "edge_type")
     clusters = lambda t: cluster_stats(nodes.where(F.col("node_type") == t)).first().asDict()

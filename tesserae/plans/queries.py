@@ -835,4 +835,4 @@ def streaming_dedup(spark, d):
     return to_table(stream, f"{place}/events", f"{place}/state")
 
 
-from . import patterns  # noqa: E402, F401  (registers its queries here)
+from . import models, patterns  # noqa: E402, F401  (they register their queries here)
