@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,13 +122,19 @@ def species(x: Column | str) -> Column:
 
 # Words that a slug leaves out.
 STOPWORDS = ["the", "a", "an", "of", "in", "on", "for", "and", "with", "by", "to", "from", "at", "is", "are", "was", "were"]
-_ACCENTED = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿŠšŽžČčŘřŤťĎďŇňĚěŮůŐőŰűŁłĀāĒēĪīŌōŪūŚśŹźŻżĆćŃńĄąĘę"
-_PLAIN = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyySsZzCcRrTtDdNnEeUuOoUuLlAaEeIiOoUuSsZzZzCcNnAaEe"
+
+
+@cache
+def _folding() -> tuple[str, str]:
+    """Each character whose canonical decomposition begins with an ASCII letter or digit, and that letter or digit."""
+    bases = {chr(c): unicodedata.normalize("NFD", chr(c))[0] for c in range(128, 0x30000) if not 0xD800 <= c < 0xE000}
+    kept = {c: b for c, b in bases.items() if b.isascii() and b.isalnum()}
+    return "".join(kept), "".join(kept.values())
 
 
 def slug(x: Column | str, words: int = 5) -> Column:
     """The first meaningful words of a title: tags cut, accents folded, other characters dropped."""
-    plain = F.translate(F.regexp_replace(text_or_empty(x), "<[^>]+>", ""), _ACCENTED.replace("Ł", "").replace("ł", ""), _PLAIN.replace("Ll", ""))
+    plain = F.translate(F.regexp_replace(text_or_empty(x), "<[^>]+>", ""), *_folding())
     ascii_only = F.regexp_replace(plain, r"[^a-zA-Z0-9\s]", "")
     all_words = F.filter(F.split(F.trim(ascii_only), r"\s+"), lambda w: w != "")
     stop = F.array(*[F.lit(w) for w in STOPWORDS])
