@@ -113,7 +113,11 @@ def catalyst_names(catalysts: DataFrame, results: DataFrame | None = None) -> Da
 
 def build_catalyst_families(catalysts: DataFrame, results: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Family nodes and INSTANCE_OF_FAMILY edges; clusters by the checked canonical name."""
-    c = catalyst_names(catalysts, results)
+    return families_of(catalyst_names(catalysts, results))
+
+
+def families_of(c: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As build_catalyst_families, for catalysts that have their names (``catalyst_names``), which the caller may release."""
     members = F.transform(F.array_sort(F.collect_list(F.struct("ord", "uid"))), lambda x: x["uid"])
     groups = c.groupBy("canonical").agg(F.min("ord").alias("ord"), F.count("*").alias("instance_count"), members.alias("member_uids"))
     names = c.where("member_name <> ''").groupBy("canonical", "member_name").agg(F.min("ord").alias("first"))
@@ -149,4 +153,4 @@ def compression_report(names: DataFrame, name: str = "canonical_name", top: int
     return row.asDict() | {"largest": [(r[name], r["n"]) for r in largest], "single": [r[name] for r in single]}
 
 
-__all__ = ["build_catalyst_families", "build_reaction_templates", "catalyst_names", "compression_report", "dominant", "latest_result", "merge_key"]
+__all__ = ["build_catalyst_families", "build_reaction_templates", "catalyst_names", "compression_report", "dominant", "families_of", "latest_result", "merge_key"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bridge, canonical, instance, normalize, post, readmodel, stats
 from ..sources import io
-from .queries import TAG_PAIRS, _big, _catalysts, _reactions, _t, order_papers, order_tags, query
+from .queries import TAG_PAIRS, _big, _catalysts, _reactions, _t, order_tags, query, staged_papers
 
 
 def _place(spark: SparkSession, name: str) -> str:
@@ -69,7 +69,7 @@ _ITEMS_SQL = "with p as (select distinct l_orderkey as o, l_partkey as p from li
 )
 def instance_uids(spark, d):
     """The id of every instance node, made of its document's id and its place."""
-    layer = instance.build_instance_layer(order_papers(spark, d))
+    layer = instance.build_instance_layer(staged_papers(spark, d))
     pick = lambda n: n.select("node_type", "uid", F.col("local_id") if "local_id" in n.columns else F.lit(None).cast("string").alias("local_id"))
     return post.union_all(*[pick(n) for n in layer.nodes.values()])
 
@@ -83,7 +83,7 @@ def instance_uids(spark, d):
 )
 def types_by_paper(spark, d):
     """How many nodes of each type a document has, with the viewers' order of the types."""
-    layer = instance.build_instance_layer(order_papers(spark, d))
+    layer = instance.build_instance_layer(staged_papers(spark, d))
     nodes = post.union_all(*[n.select("paper_uid", "node_type") for n in layer.nodes.values()])
     return readmodel.type_counts_by_paper(nodes).withColumn("place", _big("place"))
 
@@ -239,7 +239,7 @@ c as (select 'catalyst:10.1_o' || o || ':' || p as uid, p, p_brand, p % 7 <> 0 a
 def normalized_queue(spark, d):
     """The work queue of the catalysts as a file, and a normaliser's checked answers: one row a record, blank where none came."""
     path = f"{_place(spark, 'queue')}.jsonl"
-    layer = instance.build_instance_layer(order_papers(spark, d))
+    layer = instance.build_instance_layer(staged_papers(spark, d))
     queue = io.catalyst_queue(layer.nodes["Catalyst"])
     queue.write.json(path)
     queue = io.read_json_array(spark, path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queue.schema))

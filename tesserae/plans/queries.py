@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import materials, text
 from ..operators import bridge, canonical, fetch, instance, normalize, ontology, post, readmodel, stats
-from .build import build_graph
+from ..sources import io
+from .build import build_graph, staged
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -172,6 +173,11 @@ def order_papers(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def staged_papers(spark: SparkSession, d: str) -> DataFrame:
+    """The documents as a table in the shared folder, so that every branch of a build scans the fields it uses."""
+    return io.staged(order_papers(spark, d), "papers")
+
+
 @query("""
 with i as (select l_orderkey, l_partkey, l_suppkey from lineitem),
 c as (select count(*)::bigint as n from (select distinct l_orderkey, l_partkey from i)), r as (select count(*)::bigint as n from (select distinct l_orderkey, l_suppkey from i)),
@@ -180,7 +186,7 @@ select 'Paper' as node_type, count(*)::bigint as n from orders union all select
 union all select 'Reaction', n from r union all select 'PerformanceDataset', n from r union all select 'OperatingPoint', n from r
 union all select 'ProcedureStep', n from a union all select 'Metric', n from a""")
 def instance_nodes(spark, d):
-    layer = instance.build_instance_layer(order_papers(spark, d).persist())
+    layer = instance.build_instance_layer(staged_papers(spark, d))
     return stats.count_by(post.union_all(*[n.select("node_type") for n in layer.nodes.values()]), "node_type")
 
 
@@ -193,7 +199,7 @@ union all select 'HAS_REACTION', n from r union all select 'HAS_OPERATING_POINT'
 union all select 'TESTED_IN', n from a union all select 'HAS_STEP', n from a union all select 'HAS_METRIC', n from a union all select 'FOR_CATALYST', n from a
 union all select 'UNDER_REACTION', n from a union all select 'NEXT_STEP', a.n - c.n from a, c where a.n > c.n""")
 def instance_edges(spark, d):
-    return stats.count_by(instance.build_instance_layer(order_papers(spark, d).persist()).edges, "edge_type")
+    return stats.count_by(instance.build_instance_layer(staged_papers(spark, d)).edges, "edge_type")
 
 
 @query("""
@@ -202,7 +208,9 @@ pairs as (select l_orderkey, o_orderpriority as f, p_type as p, l_partkey, l_sup
 uses as (select lower(f) as s, lower(p) as t, count(*)::bigint as n, count(distinct l_orderkey)::bigint as w from pairs group by 1, 2)
 select 'onto:reaction_family:' || replace(s, ' ', '_') as source, 'onto:material_platform:' || replace(t, ' ', '_') as target, n as co_occurrence_count, w as witness_paper_count from uses""")
 def graph_likely_uses(spark, d):
-    g = build_graph(order_papers(spark, d).persist(), check=False)
+    papers = staged_papers(spark, d)
+    layer = staged(instance.build_instance_layer(papers), f"{io.shared_folder(spark)}/layer-{uuid.uuid4().hex}")
+    g = build_graph(papers, check=False, layer=layer)
     return g.edges.where("edge_type = 'LIKELY_USES'").select("source", "target", "co_occurrence_count", "witness_paper_count")
 
 

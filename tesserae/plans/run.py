@@ -48,11 +48,16 @@ def _results(queue: DataFrame, path: str, schema: str, step, given: str | None)
     return normalize.resume(queue, path, step, schema + ", status string").drop("status")
 
 
-def merge_families(results: DataFrame, normalizer: normalize.Normalizer, options: normalize.Options) -> tuple[DataFrame, DataFrame]:
-    """Results with families merged by a normaliser's answers, and the map that was applied."""
-    rollup = normalize.family_rollup(results).withColumn("uid", F.col("family"))
+def merge_families(results: DataFrame, normalizer: normalize.Normalizer, options: normalize.Options, records: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Results with families merged by a normaliser's answers, and the map that was applied.
+
+    ``records`` (uid, ord) tell the place of each result's record, by which families and their sample members are
+    ordered; without them results are in the order of reading.
+    """
+    placed = results if records is None else results.join(records.select("uid", "ord"), "uid", "left")
+    rollup = normalize.family_rollup(placed, order=None if records is None else F.struct("ord", "uid")).withColumn("uid", F.col("family"))
     answers = normalize.run_batches(rollup, normalizer, "family string, canonical string", options, key="family")
-    mapping = normalize.resolve_map(normalize.complete_map(rollup, answers))
+    mapping = normalize.resolve_map(normalize.complete_map(rollup, answers, order=F.col("canonical")))  # a batch has one answer a family
     return normalize.rewrite_families(results, mapping), mapping
 
 
@@ -99,12 +104,13 @@ def run(
         rr = None if options.skip_reactions else _results(rq, f"{out}/reaction_results", REACTION_RESULT, step(normalize.normalize_reactions, reactions), options.reaction_results)
         cr = None if options.skip_catalysts else _results(cq, f"{out}/catalyst_results", CATALYST_RESULT, step(normalize.normalize_catalysts, catalysts), options.catalyst_results)
         if cr is not None and families is not None and not options.skip_dedup:
-            merged, mapping = merge_families(cr, families, options.batches)
+            merged, mapping = merge_families(cr, families, options.batches, layer.nodes["Catalyst"])
             mapping.write.mode("overwrite").json(f"{out}/family_map")
             merged.write.mode("overwrite").parquet(f"{out}/catalyst_results_merged")  # the first pass stays as it is
             cr = spark.read.parquet(f"{out}/catalyst_results_merged")
         made = build_graph(papers, rr, cr, strict_parity=options.strict_parity, layer=layer)
         io.write_graph(made.nodes, made.edges, f"{out}/graph")
+        made.release()
     nodes, edges = io.read_graph(spark, f"{out}/graph")
     graph = Graph(nodes, edges, {})
     io.write_json_object(spark, f"{out}/stats.json", graph.stats)
