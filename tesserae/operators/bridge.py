@@ -38,6 +38,12 @@ def _kind(edges: Edges, edge_type: str, source: str, target: str) -> DataFrame:
     return _of(edges, edge_type).select(F.col("source").alias(source), F.col("target").alias(target))
 
 
+def _with_own(rows: DataFrame, key: str, own: DataFrame) -> DataFrame:
+    """(ctx, paper_uid, member): the nodes of ``key`` and the nodes ``own`` gives to each; one node's list is one row's."""
+    lists = own.groupBy(key).agg(F.collect_list("own").alias("own"))
+    return rows.join(lists, key, "left").select("ctx", "paper_uid", F.explode(F.concat(F.array(key), list_or_empty("own"))).alias("member"))
+
+
 def contexts(edges: Edges, legs: set[str] | None = None, colon_ids: bool = True) -> DataFrame:
     """(ctx, paper_uid, member): the instance nodes around each tested pair of catalyst and reaction.
 
@@ -70,10 +76,9 @@ def contexts(edges: Edges, legs: set[str] | None = None, colon_ids: bool = True)
         hit = perf.join(measured, ["cat", "rxn", "perf"])
         out.append(hit.select(*head, F.explode(F.array("op", "metric")).alias("member")))
     if "claim" in legs:
-        about = on.where("startswith(member, 'claim:')").join(_kind(edges, "ABOUT_REACTION", "member", "rxn").distinct(), "member")
-        claims = pair.join(about, ["cat", "rxn"]).select(*head, "member")
-        evidence = claims.withColumnRenamed("member", "claim").join(_kind(edges, "HAS_EVIDENCE", "claim", "member"), "claim")
-        out += [claims, evidence.select(*head, "member")]
+        # from the pair to the claims of its catalyst; claims joined to reactions first would be all their pairs
+        claims = pair.join(on.where("startswith(member, 'claim:')"), "cat").join(_kind(edges, "ABOUT_REACTION", "member", "rxn").distinct(), ["member", "rxn"])
+        out.append(_with_own(claims.select(*head, "member"), "member", _kind(edges, "HAS_EVIDENCE", "member", "own")))
     return reduce(DataFrame.unionByName, out)
 
 
