@@ -61,10 +61,10 @@ def contexts(edges: Edges, legs: set[str] | None = None, colon_ids: bool = True)
     if "pair" in legs:
         out.append(pair.select(*head, F.explode(F.array("cat", "rxn")).alias("member")))
     if "procedure" in legs:
-        named = _kind(edges, "SPECIFIC_TO", "proc", "r").groupBy("proc").agg(F.collect_set("r").alias("rxns"))  # one procedure's list
-        procs = pair.join(_kind(edges, "APPLIES_TO", "proc", "cat").distinct(), "cat").join(named, "proc", "left")
-        procs = procs.where(F.col("rxns").isNull() | F.array_contains("rxns", F.col("rxn"))).select(*head, "proc")
-        out += [procs.select(*head, F.col("proc").alias("member")), procs.join(_kind(edges, "HAS_STEP", "proc", "member"), "proc").select(*head, "member")]
+        named = _kind(edges, "SPECIFIC_TO", "proc", "rxn").distinct()
+        procs = pair.join(_kind(edges, "APPLIES_TO", "proc", "cat").distinct(), "cat")
+        procs = procs.join(named.select("proc").distinct().withColumn("names", F.lit(True)), "proc", "left").join(named.withColumn("this", F.lit(True)), ["proc", "rxn"], "left")
+        out.append(_with_own(procs.where("names is null or this").select(*head, "proc"), "proc", _kind(edges, "HAS_STEP", "proc", "own")))
     on = _of(edges, "APPLIES_TO_CATALYST").select(F.col("source").alias("member"), F.col("target").alias("cat")).distinct()
     if "characterization" in legs:
         out.append(pair.join(on.where("startswith(member, 'char:')"), "cat").select(*head, "member"))

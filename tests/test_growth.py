@@ -40,3 +40,11 @@ def test_claims_are_not_paired_with_all_reactions_of_their_catalysts(spark):
     found = bridge.contexts(_edges(spark, n), {"claim"})
     assert found.groupBy("member").count().rdd.map(tuple).collectAsMap() == {"claim:1": n, "evidence:1": n}
     assert most_rows(found) <= 2 * n
+
+
+def test_reactions_of_a_procedure_are_no_list(spark):
+    n = 50
+    edges = _edges(spark, n) | {"SPECIFIC_TO": _edges(spark, n)["SPECIFIC_TO"].where("target <> 'rxn:7'")}
+    found = bridge.contexts(edges, {"procedure"})
+    assert found.groupBy("member").count().rdd.map(tuple).collectAsMap() == {"proc:1": n - 1, "step:1": n - 1}
+    assert "collect_set" not in plan_of(found)
