@@ -48,3 +48,22 @@ def test_reactions_of_a_procedure_are_no_list(spark):
     found = bridge.contexts(edges, {"procedure"})
     assert found.groupBy("member").count().rdd.map(tuple).collectAsMap() == {"proc:1": n - 1, "step:1": n - 1}
     assert "collect_set" not in plan_of(found)
+
+
+def test_pairs_of_a_document_do_not_travel_again(spark):
+    from tesserae.plans.queries import TAG_PAIRS, cooccur, order_contexts
+
+    sf = "/root/testdata/sf0.001"
+    near = order_contexts(spark, sf)
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    found = bridge.pair_lists(near, TAG_PAIRS, witnesses=False)
+    assert exchanges(found) <= exchanges(near) + 1  # that of the edges' sums alone
+    assert exchanges(cooccur(spark, sf)) <= exchanges(near) + 1
+
+
+def test_witnesses_are_counted_without_a_list(spark):
+    tags = spark.sql("select array(id) as ctx, concat('p', id % 7) as paper_uid, 2000 + id % 7 as year, inline(array(named_struct('tag', 'x', 'type', 'a'), named_struct('tag', 'y', 'type', 'b'))) from range(50)")
+    found = bridge.pair_up(tags, [("a", "b", "LIKELY_USES")])
+    assert [tuple(r) for r in found.collect()] == [("x", "y", "LIKELY_USES", 50, [f"p{k}" for k in range(7)], 2000, 2006, 7)]
+    counted = found.select("source", "target", "co_occurrence_count", "witness_paper_count")
+    assert "collect_" not in plan_of(counted).partition("Aggregate")[2].partition("Aggregate")[0]
