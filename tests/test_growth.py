@@ -67,3 +67,11 @@ def test_witnesses_are_counted_without_a_list(spark):
     assert [tuple(r) for r in found.collect()] == [("x", "y", "LIKELY_USES", 50, [f"p{k}" for k in range(7)], 2000, 2006, 7)]
     counted = found.select("source", "target", "co_occurrence_count", "witness_paper_count")
     assert "collect_" not in plan_of(counted).partition("Aggregate")[2].partition("Aggregate")[0]
+
+
+def test_likely_uses_plans_its_own_branches_alone(spark):
+    from tesserae.plans.queries import graph_likely_uses
+
+    plan = graph_likely_uses(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "task5" not in plan and "task3" not in plan  # neither measurements nor procedures are read
+    assert plan.count("Scan parquet") <= 9
