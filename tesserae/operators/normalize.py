@@ -84,19 +84,23 @@ def run_batches(queue: DataFrame, normalizer: Normalizer, schema: str, options:
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for at in range(0, len(frame), options.batch):
-                part = frame.iloc[at : at + options.batch]
-                rows = [{c: (list(v) if hasattr(v, "tolist") else v) for c, v in r.items()} for r in part[columns].to_dict("records")]
+            records = [{c: (list(v) if hasattr(v, "tolist") else v) for c, v in r.items()} for r in frame[columns].to_dict("records")]
+            out = []  # a table for each batch would cost far more than its rows
+            for at in range(0, len(records), options.batch):
+                rows = records[at : at + options.batch]
+                asked, got = [r[key] for r in rows], {}
                 try:
                     made, status = with_retry(lambda rows=rows: normalizer(rows), options.attempts, options.backoff), "missing"
                 except Exception as error:
                     made, status = [], f"failed: {error}"[:200]
-                asked, got = [r[key] for r in rows], {}
+                known = set(asked)
                 for m in made:
                     k = m.get(key)
-                    if k in asked and k not in got:
+                    if k in known and k not in got:
                         got[k] = m
-                yield pd.DataFrame([[got[k].get(n) if k in got else (k if n == key else None) for n in names] + ["ok" if k in got else status] for k in asked], columns=[*names, "status"])
+                out += [[got[k].get(n) if k in got else (k if n == key else None) for n in names] + ["ok" if k in got else status] for k in asked]
+            if out:
+                yield pd.DataFrame(out, columns=[*names, "status"])
 
     return queue.repartition(options.concurrency).mapInPandas(work, f"{schema}, status string")
 
