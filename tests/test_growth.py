@@ -75,3 +75,16 @@ def test_likely_uses_plans_its_own_branches_alone(spark):
     plan = graph_likely_uses(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "task5" not in plan and "task3" not in plan  # neither measurements nor procedures are read
     assert plan.count("Scan parquet") <= 9
+
+
+def test_first_occurrences_are_found_without_a_sort_of_all(spark):
+    from tesserae.operators import ontology
+    from tesserae.plans.queries import ontology_terms
+
+    rows = [([3, 1], " A"), ([2, 9], "a"), ([2, 4], "A "), ([2, 4, 0], "a"), (None, "b"), ([1], "B"), ([None, 1], "C"), ([0], "c"), ([], "D"), ([7], "d"), ([-1], "e"), ([-1, 0], "E")]
+    nodes = spark.createDataFrame([(f"u{k}", "p", o, x) for k, (o, x) in enumerate(rows)], "uid string, paper_uid string, ord array<bigint>, x string")
+    terms, _ = ontology.build_ontology_layer({"T": nodes}, [("T", "x", "x", "HAS")])
+    want = {"a": ([2, 4], "A"), "b": (None, "b"), "c": ([None, 1], "C"), "d": ([], "D"), "e": ([-1], "e")}
+    assert {r["canonical_name"]: (r["ord"], r["display_name"]) for r in terms.collect()} == {k: (None if o is None else [0, *o, 0], x) for k, (o, x) in want.items()}
+    plan = ontology_terms(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan  # a list's minimum alone would sort every occurrence
