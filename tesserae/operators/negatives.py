@@ -7,6 +7,8 @@ and the attempt fixes, looked up by a join, so every run gives the same pairs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +35,17 @@ def hard_negatives(pairs: DataFrame, seed: int = 7, attempts: int = 4, known: Da
     places = staged(numbered(own, ["source", "target"]), "pairs")
     n = places.count()
     links = own if known is None else own.unionByName(known.select("source", "target").dropna()).distinct()
-    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("source").cast("string"), F.col("target").cast("string"), F.col("attempt").cast("string")), 256)
-    draws = places.select("source", "target", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("attempt"))
-    draws = draws.withColumn("place", F.pmod(F.conv(F.substring(digest, 1, 12), 16, 10).cast("long"), F.lit(max(n, 1))))
-    drawn = draws.join(places.select("place", F.col("target").alias("negative")), "place").select("source", "target", "attempt", "negative")
-    absent = drawn.join(links.select("source", F.col("target").alias("negative")), ["source", "negative"], "left_anti")
-    first = absent.groupBy("source", "target").agg(F.min(F.struct("attempt", "negative")).alias("x"))
-    return first.select("source", "target", F.col("x.negative").alias("negative"), F.col("x.attempt").alias("attempt"))
+    links = staged(links.select("source", F.col("target").alias("negative")), "links")
+    targets = places.select("place", F.col("target").alias("negative"))
+    left, found = places.select("source", "target"), []
+    for attempt in range(attempts):  # a pair is drawn for again only if its last draw was a link
+        digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("source").cast("string"), F.col("target").cast("string"), F.lit(str(attempt))), 256)
+        place = F.pmod(F.conv(F.substring(digest, 1, 12), 16, 10).cast("long"), F.lit(max(n, 1)))
+        drawn = left.withColumn("place", place).join(targets, "place").select("source", "target", "negative")
+        tried = drawn.join(links.withColumn("__linked", F.lit(True)), ["source", "negative"], "left")
+        tried = staged(tried.select("source", "target", "negative", F.col("__linked").isNotNull().alias("linked")), "draws")
+        found.append(tried.where("not linked").select("source", "target", "negative", F.lit(attempt).alias("attempt")))
+        left = tried.where("linked").select("source", "target")
+        if left.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found)

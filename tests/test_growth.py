@@ -88,3 +88,14 @@ def test_first_occurrences_are_found_without_a_sort_of_all(spark):
     assert {r["canonical_name"]: (r["ord"], r["display_name"]) for r in terms.collect()} == {k: (None if o is None else [0, *o, 0], x) for k, (o, x) in want.items()}
     plan = ontology_terms(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan  # a list's minimum alone would sort every occurrence
+
+
+def test_a_pair_is_drawn_for_again_only_after_a_link(spark, monkeypatch):
+    from tesserae.operators import negatives
+
+    sizes, real = [], negatives.staged
+    monkeypatch.setattr(negatives, "staged", lambda df, name: sizes.append((name, real(df, name))) or sizes[-1][1])
+    pairs = spark.range(2000).selectExpr("id as source", "id % 500 as target")
+    assert negatives.hard_negatives(pairs).count() == 2000
+    drawn = sum(f.count() for name, f in sizes if name == "draws")
+    assert 2000 < drawn < 2100
