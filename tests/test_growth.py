@@ -99,3 +99,16 @@ def test_a_pair_is_drawn_for_again_only_after_a_link(spark, monkeypatch):
     assert negatives.hard_negatives(pairs).count() == 2000
     drawn = sum(f.count() for name, f in sizes if name == "draws")
     assert 2000 < drawn < 2100
+
+
+def test_alike_sequences_are_sought_through_once(spark, monkeypatch):
+    from tesserae.operators import sequences
+
+    sizes, real = [], sequences.staged
+    monkeypatch.setattr(sequences, "staged", lambda df, name: sizes.append(real(df, name)) or sizes[-1])
+    rows = [(i, ["a", "b"]) for i in range(500)] + [(0, ["a", "c"]), (None, ["a"]), (None, ["b", "a"]), (7, None)]
+    patterns, members = sequences.frequent_patterns(spark.createDataFrame(rows, "id long, items array<string>"), 2, 3)
+    assert {tuple(r["pattern"]): r["support"] for r in patterns.collect()} == {("a",): 501, ("b",): 501, ("a", "b"): 500}
+    got = {(r["id"], tuple(r["pattern"])) for r in members.collect()}
+    assert got == {(i, p) for i in range(500) for p in (("a",), ("b",), ("a", "b"))} | {(None, ("a",)), (None, ("b",))} and members.count() == len(got)
+    assert max(f.count() for f in sizes) < 20
