@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..sources.io import staged
 from .skew import HEAVY, salted_join
 
+CROWD = 1_000  # rows that agree in the exact columns and are compared with each other without bins
+
 # Units, what they measure, and the factor and summand that bring them to the base unit.
 UNITS = {
     "K": ("temperature", 1.0, 0.0), "°C": ("temperature", 1.0, 273.15), "C": ("temperature", 1.0, 273.15), "°F": ("temperature", 5 / 9, 459.67 * 5 / 9),
@@ -74,6 +76,32 @@ def metric_points(nodes: dict[str, DataFrame], edge_tables: dict[str, DataFrame]
     return with_conditions(out, "__conditions", names).drop("__conditions", "op")
 
 
+def crowded(rows: DataFrame, exact: list[str], crowd: int | None = None) -> DataFrame:
+    """The values of ``exact`` that more than ``crowd`` rows share: one for ``crowd`` rows at most."""
+    return staged(rows.groupBy(*exact).agg(F.count("*").alias("__n")).where(F.col("__n") > (CROWD if crowd is None else crowd)).select(*exact), "crowded")
+
+
+def paired(points: DataFrame, names: dict[str, str], exact: list[str], bands: dict[str, float], heavy: int = HEAVY, hot: DataFrame | None = None) -> DataFrame:
+    """``banded`` of a table with itself; ``names`` are the right side's columns.
+
+    Where few rows agree in ``exact``, they are shuffled by it once and compared with each other; those of ``hot`` (by
+    default ``crowded``) take bins.
+    """
+    if not exact:
+        return banded(points, points.withColumnsRenamed(names), exact, bands, heavy)
+    for c in exact:
+        points = points.where(F.col(c).isNotNull())
+    for c in bands:
+        points = points.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
+    hot = F.broadcast(crowded(points, exact) if hot is None else hot)
+    few = points.join(hot, exact, "left_anti").repartition(*exact)
+    near = few.join(few.withColumnsRenamed(names), exact)
+    for c, band in bands.items():
+        near = near.where(F.abs(F.col(c) - F.col(names[c])) <= band)
+    many = points.join(hot, exact, "left_semi")
+    return near.unionByName(banded(many, many.withColumnsRenamed(names), exact, bands, heavy))
+
+
 def banded(left: DataFrame, right: DataFrame, exact: list[str], bands: dict[str, float], heavy: int = HEAVY) -> DataFrame:
     """Pairs of rows that agree in ``exact`` and whose numbers in ``bands`` differ by at most the band.
 
@@ -101,8 +129,7 @@ def comparable(points: DataFrame, key: str, exact: list[str], bands: dict[str, f
     """
     rest = [*bands, *([other] if other else [])]
     a = points.select(F.col(key).alias("source"), *exact, *rest)
-    b = points.select(F.col(key).alias("target"), *exact, *[F.col(c).alias(f"{c}_b") for c in rest])
-    near = banded(a, b, exact, bands, heavy).where("source < target")
+    near = paired(a, {"source": "target", **{c: f"{c}_b" for c in rest}}, exact, bands, heavy).where("source < target")
     if other:
         near = near.where(F.col(other) != F.col(f"{other}_b"))
     return near.select("source", "target").distinct().withColumn("edge_type", F.lit("COMPARABLE_TO"))
@@ -117,8 +144,7 @@ def outcomes(points: DataFrame, subject: str, value: str, exact: list[str], band
     by = by or []
     of = points.where(F.col(value).isNotNull() & F.col(subject).isNotNull()).select(F.col(subject).alias("a"), F.col(value).alias("__va"), *exact, *bands)
     each = of.groupBy(*of.columns).agg(F.count("*").alias("__na"))
-    other = each.withColumnsRenamed({"a": "b", "__va": "__vb", "__na": "__nb", **{c: f"{c}_b" for c in bands}})
-    near = banded(each, other, exact, bands, heavy).where("a < b")
+    near = paired(each, {"a": "b", "__va": "__vb", "__na": "__nb", **{c: f"{c}_b" for c in bands}}, exact, bands, heavy, crowded(of, exact) if exact else None).where("a < b")
     gap = (F.col("__va") - F.col("__vb")) * (1 if higher else -1)
     least = F.greatest(F.abs("__va"), F.abs("__vb")) * margin
     n = F.col("__na") * F.col("__nb")

@@ -112,3 +112,20 @@ def test_alike_sequences_are_sought_through_once(spark, monkeypatch):
     got = {(r["id"], tuple(r["pattern"])) for r in members.collect()}
     assert got == {(i, p) for i in range(500) for p in (("a",), ("b",), ("a", "b"))} | {(None, ("a",)), (None, ("b",))} and members.count() == len(got)
     assert max(f.count() for f in sizes) < 20
+
+
+def test_points_of_few_alike_are_shuffled_once(spark, monkeypatch):
+    from tesserae.operators import compare
+
+    rows = "select concat('u', id) as uid, if(id < 40, 0, id % 9) as part, id % 5 as supplier, id % 11 + 0.0D as price, cast(id % 13 as double) as q, cast(id % 17 as double) as d, id % 3 as paper from range(160) union all select 'n', null, 1, 1.0D, 1.0D, 1.0D, 9 union all select 'm', 1, 1, 1.0D, double('nan'), 1.0D, 9"
+    points, bands = spark.sql(rows), {"q": 2.0, "d": 3.0}
+    both = lambda: (sorted(map(tuple, compare.comparable(points, "uid", ["part"], bands, "paper").collect())), sorted(map(tuple, compare.outcomes(points, "supplier", "price", ["part"], bands).collect())))
+    near = compare.comparable(points, "uid", ["part"], bands, "paper")
+    assert most_rows(near.where("source < target")) < 30 * 160
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+    few = both()
+    monkeypatch.setattr(compare, "CROWD", 30)  # part 0 alone takes bins
+    some = both()
+    monkeypatch.setattr(compare, "CROWD", 0)  # all take bins
+    assert few == some == both() and len(few[0]) > 50
