@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, slices
@@ -80,16 +80,29 @@ def _signed(bits: list[int]) -> int:
     return v - (1 << 64) if v >> 63 else v
 
 
-def segment_keys(fps: DataFrame, segments: int = 2) -> DataFrame:
-    """(key, fp, slot) for every table's key and its one-wildcard variants; slot is 65 * table + blanked bit (64: none)."""
-    made = []
+def segment_keys(fps: DataFrame, segments: int = 2, spread: int | None = None) -> DataFrame:
+    """(place, key, fp, slot) for every table's key and its one-wildcard variants; slot is 65 * table + blanked bit (64: none).
+
+    A key's bits are cut into quarters.  All variants that blank a bit of one quarter agree in the other three, whose
+    hash is the place, so a fingerprint is shuffled by its places, four a table, and makes its variants where it arrives:
+    equal keys are in one partition already.
+    """
+    quarters, cases = [], []
     for t, bits in enumerate(_masks(segments)):
-        for blank in [None, *bits]:
-            mask = _signed([b for b in bits if b != blank])
-            slot = 65 * t + (64 if blank is None else blank)
-            made.append(f"struct(cast({slot} as smallint) as slot, fp & {mask}L as part)")
-    keys = fps.select("fp", F.expr(f"explode(array({', '.join(made)}))").alias("k"))
-    return keys.select(F.xxhash64("k.slot", "k.part").alias("key"), "fp", F.col("k.slot").alias("slot"))
+        for q in range(4):
+            own = bits[q::4]
+            at = 4 * t + q
+            quarters.append(f"struct(cast({at} as tinyint) as quarter, xxhash64({at}, fp & {_signed([b for b in bits if b not in own])}L) as place)")
+            made = []
+            for blank in [*own, *([None] if q == 0 else [])]:
+                mask = _signed([b for b in bits if b != blank])
+                slot = 65 * t + (64 if blank is None else blank)
+                made.append(f"struct(cast({slot} as smallint) as slot, fp & {mask}L as part)")
+            cases.append(f"when quarter = {at} then array({', '.join(made)})")
+    laid = fps.select("fp", F.expr(f"inline(array({', '.join(quarters)}))"))
+    laid = laid.repartition(spread or int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "place")
+    keys = laid.select("place", "fp", F.expr(f"explode(case {' '.join(cases)} end)").alias("k"))
+    return keys.select("place", F.xxhash64("k.slot", "k.part").alias("key"), "fp", F.col("k.slot").alias("slot"))
 
 
 def _dense(rows: DataFrame, segments: int) -> DataFrame:
@@ -122,10 +135,8 @@ def links(fps: DataFrame, bits: int = 2, dense: int = DENSE, segments: int = 2)
     """
     if bits != 2:
         raise ValueError("the keys serve a bound of two bits")
-    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a row becomes 66 and more
-    keyed = segment_keys(fps.repartition(spread, F.xxhash64("fp")), segments)
-    shared = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))  # partial counts, so no task gathers a hot key
-    keyed = cut(keyed.join(shared, "key"))
+    keyed = segment_keys(fps, segments).withColumn("n", F.count("*").over(Window.partitionBy("place", "key")))
+    keyed = cut(keyed.where("n > 1").select("key", "fp", "slot", "n"))
     few = keyed.where(F.col("n") <= dense)
     a, b = few.select("key", F.col("fp").alias("a"), "slot"), few.select("key", F.col("fp").alias("b"))
     differs = F.expr("slot % 65 = 64 or getbit(a ^ b, if(slot % 65 = 64, 0, slot % 65)) = 1")

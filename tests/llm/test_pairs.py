@@ -59,6 +59,18 @@ def test_links_connect_what_brute_force_connects(spark, dense, segments):
     assert {frozenset(k for k in signed if got[k] == g) for g in set(got.values())} == {frozenset(k for k in signed if want[k] == g) for g in set(want.values())}
 
 
+@pytest.mark.parametrize("segments", [2, 3])
+def test_keys_are_made_where_they_meet(spark, segments):
+    """A fingerprint travels by its places, not by its keys, and equal keys are in one partition."""
+    fps = spark.range(64).selectExpr("shiftleft(1L, cast(id as int)) as fp").union(spark.createDataFrame([(0,)], "fp long"))
+    keys = simhash.segment_keys(fps, segments, 7).withColumn("at", F.spark_partition_id())
+    assert keys.groupBy("key").agg(F.count_distinct("at").alias("n")).where("n > 1").count() == 0
+    widths = [len(m) for m in simhash._masks(segments)]
+    assert keys.count() == 65 * sum(w + 1 for w in widths)  # each variant once
+    plan = simhash.segment_keys(fps, segments)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(") < plan.index("Repartition") < plan.index("inline(")
+
+
 def test_near_duplicates(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
