@@ -157,6 +157,8 @@ def test_merge_equals_single(graph, spark):
 def test_read_models(graph):
     g = graph[1]
     bundles = {r["paper_uid"]: r for r in readmodel.paper_bundles(g.nodes, g.edges).collect()}
+    sizes = {r["paper_uid"]: (r["year"], r["doi"], r["n_nodes"], r["n_edges"]) for r in readmodel.bundle_sizes(g.nodes, g.edges).collect()}
+    assert sizes == {k: (r["year"], r["doi"], len(r["nodes"] or []), len(r["edges"] or [])) for k, r in bundles.items()}
     assert [n["uid"] for n in bundles["paper:10.1_b"]["nodes"]] == ["paper:10.1_b", "reaction:10.1_b:R1", "catalyst:10.1_b:C1"]
     assert {e["edge_type"] for e in bundles["paper:10.1_b"]["edges"]} == {"HAS_REACTION", "HAS_CATALYST", "TESTED_IN", "IN_FAMILY", "HAS_MATERIAL_PLATFORM"}
     assert readmodel.explorer_summary(g.nodes, g.edges).first().asDict() == {"total_edges": 40, "total_edge_types": 22, "total_co_occur": 10, "cross_paper_co_occur": 1, "total_nodes": 20}

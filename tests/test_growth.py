@@ -129,3 +129,10 @@ def test_points_of_few_alike_are_shuffled_once(spark, monkeypatch):
     some = both()
     monkeypatch.setattr(compare, "CROWD", 0)  # all take bins
     assert few == some == both() and len(few[0]) > 50
+
+
+def test_bundles_are_counted_without_their_lists(spark):
+    from tesserae.plans.queries import paper_bundles
+
+    plan = plan_of(paper_bundles(spark, "/root/testdata/sf0.001"))
+    assert "collect_list" not in plan and "Sort [" not in plan.replace("Sort [l_", "")
