@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesserae.operators import bridge, instance, post, readmodel
-from tesserae.plans.build import build_graph, merge_graphs
+from tesserae.plans.build import build_graph, build_likely, merge_graphs
 from tesserae.sources import io
 
 FX1 = [
@@ -147,6 +147,14 @@ def test_counts_of_orders_make_no_edge_and_travel_by_document(spark):
         assert plan.count("Scan parquet") == 3 and plan.count("reaction_id,") == 2  # one pass over the tables, without ids; the lists of reactions and of datasets are made once
 
 
+def test_likely_edges_alone_are_those_of_the_graph(graph):
+    row = lambda e: (e["source"], e["target"], e["edge_type"], e["co_occurrence_count"], e["witness_paper_count"])
+    whole = sorted(row(e) for e in graph[3] if e["edge_type"] in readmodel.LIKELY)
+    assert len(whole) == 10 and sorted(map(row, build_likely(graph[0]).collect())) == whole
+    uses = [p for p in bridge.PAIRS if p[2] == "LIKELY_USES"]
+    assert sorted(map(row, build_likely(graph[0], uses).collect())) == [e for e in whole if e[2] == "LIKELY_USES"]
+
+
 def test_merge_equals_single(graph, spark):
     nodes, edges = graph[1].nodes, graph[1].edges
     half = nodes.where("uid < 'm'"), edges.where("source < 'm'")

@@ -77,6 +77,16 @@ def test_likely_uses_plans_its_own_branches_alone(spark):
     assert plan.count("Scan parquet") <= 9
 
 
+def test_likely_uses_leaves_the_other_layers_unplanned(spark, monkeypatch):
+    from tesserae.operators import canonical, post
+    from tesserae.plans.queries import graph_likely_uses
+
+    made = []
+    for module, name in ((canonical, "catalyst_names"), (canonical, "families_of"), (bridge, "template_similarity"), (bridge, "build_lifted"), (post, "valid_edges")):
+        monkeypatch.setattr(module, name, lambda *a, name=name, real=getattr(module, name), **k: made.append(name) or real(*a, **k))
+    assert graph_likely_uses(spark, "/root/testdata/sf0.001").count() > 0 and made == []
+
+
 def test_first_occurrences_are_found_without_a_sort_of_all(spark):
     from tesserae.operators import ontology
     from tesserae.plans.queries import ontology_terms
