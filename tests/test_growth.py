@@ -146,3 +146,19 @@ def test_bundles_are_counted_without_their_lists(spark):
 
     plan = plan_of(paper_bundles(spark, "/root/testdata/sf0.001"))
     assert "collect_list" not in plan and "Sort [" not in plan.replace("Sort [l_", "")
+
+
+def test_bundles_of_the_query_hold_their_lists_in_order(spark, monkeypatch):
+    from tesserae.plans.queries import paper_bundles
+    from tesserae.sources import io
+
+    kept, real = {}, io.staged
+    monkeypatch.setattr(io, "staged", lambda df, name: kept.setdefault(name, real(df, name)))
+    sizes = {r["doi"]: (r["n_nodes"], r["n_edges"]) for r in paper_bundles(spark, "/root/testdata/sf0.001").collect()}
+    rows = kept["bundles"].orderBy(F.monotonically_increasing_id()).collect()
+    assert {r["doi"]: (len(r["nodes"]), len(r["edges"] or [])) for r in rows} == sizes and len(rows) == len(sizes) > 0
+    items = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert sum(e["edge_type"] == "HAS_ITEM" and e["source"] == r["paper_uid"] for r in rows for e in r["edges"] or []) == items
+    place = lambda r: (r["year"], r["doi"], r["paper_uid"])
+    parts = [[place(r) for r in part] for part in kept["bundles"].rdd.glom().collect() if part]
+    assert all(part == sorted(part) for part in parts) and sorted(map(place, rows)) == [p for part in sorted(parts) for p in part]
